@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import flat_text, labelled_sample, text_groups, words_of
+from lakeloom.llm.common import labelled_sample, text_groups, words_of
 
 BITS = 18
 #: Bounds of the training sample: rows of each class, and characters of a row.
@@ -82,16 +82,28 @@ def train(rows: list[tuple[str, int]], epochs: int = 300, rate: float = 0.3, dec
     y = np.array([label for _, label in rows], float)
     if not len(y) or y.min() == y.max():
         return ToxicityModel(np.zeros(1 << BITS), 30.0 if len(y) and y[0] else -30.0)
-    feature, sentence, row, _, _ = sentences(*flat_text(pa.array([t for t, _ in rows], pa.string())))
+    column = pa.array([t for t, _ in rows], pa.string())
     # Words that toxic documents have clearly more often than clean ones; a word of few documents says nothing.
-    pairs = np.unique(feature * len(rows) + row[sentence])
-    toxic = y[pairs % len(rows)] == 1
-    n1, n0 = (np.bincount(pairs[k] // len(rows), minlength=1 << BITS) for k in (toxic, ~toxic))
-    keep = ((n1 >= MIN_TOXIC) & ((n1 - np.sqrt(n1)) / y.sum() > LIFT * (n0 + 0.5) / (len(y) - y.sum())))[feature]
+    n1, n0 = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    for first, _, raw, offsets in text_groups(column):
+        feature, sentence, row, _, _ = sentences(raw, offsets)
+        pair = np.unique((row[sentence] << BITS) + feature)
+        toxic = y[first + (pair >> BITS)] == 1
+        n1 += np.bincount(pair[toxic] & ((1 << BITS) - 1), minlength=1 << BITS)
+        n0 += np.bincount(pair[~toxic] & ((1 << BITS) - 1), minlength=1 << BITS)
+    chosen = (n1 >= MIN_TOXIC) & ((n1 - np.sqrt(n1)) / y.sum() > LIFT * (n0 + 0.5) / (len(y) - y.sum()))
+    features, owners, bags, made = [], [], [], 0
+    for first, _, raw, offsets in text_groups(column):
+        feature, sentence, row, _, _ = sentences(raw, offsets)
+        keep = chosen[feature]
+        pair = np.unique((sentence[keep] << BITS) + feature[keep])
+        features.append(pair & ((1 << BITS) - 1))
+        owners.append((pair >> BITS) + made)
+        bags.append(row + first)
+        made += len(row)
+    feature, sentence, row = np.concatenate(features), np.concatenate(owners), np.concatenate(bags)
     lift = np.log((n1 + 1e-9) / y.sum() * (len(y) - y.sum()) / (n0 + 0.5))
-    used, feature = np.unique(feature[keep], return_inverse=True)
-    pair = np.unique((sentence[keep] << BITS) + feature)
-    sentence, feature = pair >> BITS, pair & ((1 << BITS) - 1)
+    used, feature = np.unique(feature, return_inverse=True)
     share = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum())) * len(y)
     w, gw, n = lift[used], np.full(len(used), 1e-3), len(row)
     for _ in range(epochs):
