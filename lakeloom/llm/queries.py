@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import decontaminate, langid, pieces, quality, toxicity
+from lakeloom.llm import decontaminate, langid, neardup, pieces, quality, toxicity
 from lakeloom.llm.common import held_out_bucket, read_table
 
 
@@ -36,6 +36,11 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (held_out_bucket(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.classes(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+
+
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(read_table(spark, sf_dir, "documents"), piece_model_path(), with_ids=False)
 
@@ -60,6 +65,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
         "op2_language": op2_language,
+        "op3_near_duplicates": op3_near_duplicates,
         "op5_pieces": op5_pieces,
         "op9_toxicity": op9_toxicity,
         "op10_decontamination": op10_decontamination,
