@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import decontaminate, langid, neardup, pieces, quality, toxicity
+from lakeloom.llm import decontaminate, langid, multiindex, neardup, pieces, quality, toxicity
 from lakeloom.llm.common import held_out_bucket, read_table
 
 
@@ -45,6 +45,10 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(read_table(spark, sf_dir, "documents"), piece_model_path(), with_ids=False)
 
 
+def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiindex.link_summary(read_table(spark, sf_dir, "embeddings"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(read_table(spark, sf_dir, "documents"), toxicity.fit(spark, sf_dir))
     return scored.select(
@@ -67,6 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_language": op2_language,
         "op3_near_duplicates": op3_near_duplicates,
         "op5_pieces": op5_pieces,
+        "op7_embeddings": op7_embeddings,
         "op9_toxicity": op9_toxicity,
         "op10_decontamination": op10_decontamination,
     }
