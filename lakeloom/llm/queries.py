@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import chat, decontaminate, langid, multiindex, neardup, pieces, quality, toxicity
+from lakeloom.llm import chat, decontaminate, langid, multiindex, neardup, pages, pieces, quality, toxicity
 from lakeloom.llm.common import held_out_bucket, read_table
 
 
@@ -56,6 +56,10 @@ def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiindex.link_summary(read_table(spark, sf_dir, "embeddings"))
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(read_table(spark, sf_dir, "pages"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(read_table(spark, sf_dir, "documents"), toxicity.fit(spark, sf_dir))
     return scored.select(
@@ -80,6 +84,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_chat": op4_chat,
         "op5_pieces": op5_pieces,
         "op7_embeddings": op7_embeddings,
+        "op8_main_text": op8_main_text,
         "op9_toxicity": op9_toxicity,
         "op10_decontamination": op10_decontamination,
     }
