@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import chat, decontaminate, langid, multiindex, neardup, pages, pieces, quality, toxicity
+from lakeloom.llm import chat, decontaminate, langid, multiindex, neardup, pages, pieces, pii, quality, toxicity
 from lakeloom.llm.common import held_out_bucket, read_table
 
 
@@ -52,6 +52,11 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(read_table(spark, sf_dir, "documents"), piece_model_path(), with_ids=False)
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.report(docs, pii.fit(docs))
+
+
 def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiindex.link_summary(read_table(spark, sf_dir, "embeddings"))
 
@@ -83,6 +88,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_near_duplicates": op3_near_duplicates,
         "op4_chat": op4_chat,
         "op5_pieces": op5_pieces,
+        "op6_pii": op6_pii,
         "op7_embeddings": op7_embeddings,
         "op8_main_text": op8_main_text,
         "op9_toxicity": op9_toxicity,
