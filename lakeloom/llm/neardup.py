@@ -7,9 +7,11 @@ its shingles plus the signature's length. Two signatures agree in a component wi
 weighted sets. Bands of the signature propose pairs; the Jaccard similarity of the exact shingle sets decides.
 
 Documents with equal shingle counts are one class from the start, so copies are never paired. Buckets of at most
-``SMALL`` classes are compared pair by pair. In a larger one all members are compared with one pivot, and then, round
-by round, members of different components with other pivots of the bucket's other components, until a round links
-nothing new: no step emits all pairs of a large group.
+``SMALL`` classes are compared pair by pair. In a larger one all members are compared with one pivot; then, round by
+round, a bucket in which several components meet takes a new pivot, from its largest component, every fourth time from any
+other, and compares it with the members of all other components, until four rounds link nothing new (at most
+``MAX_ROUNDS``). No step emits all pairs of a large group. A document meets new pivots in each of its buckets and
+rounds, so a link is lost only between documents that no chain of tested pairs joins.
 
 Edge cases: a text of fewer than five words is one shingle of all its words; null, empty and wordless texts have no
 shingle and are a class each; rows with equal ``doc_id`` fall into one class; a null ``doc_id`` links with nothing;
@@ -176,31 +178,29 @@ def classes(docs: DataFrame) -> DataFrame:
     links = materialize(verified(pairs, sets))
     labels = materialize(components(links))
 
+    idle, tried = 0, pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     has_large = bool(large.take(1))
-    tried = pairs
-    for turn in range(1, MAX_ROUNDS + 1):
-        if not has_large:
-            break
+    for turn in range(MAX_ROUNDS if has_large else 0):
         named = large.select("key", "node", "n").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        # Only buckets in which several components meet; of each, one member stands for it, another one every round.
-        mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
-        named = materialize(named.join(mixed, "key"))
-        delegates = named.groupBy("key", F.col("label").alias("of")).agg(F.min_by(F.struct("node", "n"), F.xxhash64("node", F.lit(turn))).alias("d"))
-        fresh = (
-            named.join(delegates.select("key", "of", F.col("d.node").alias("p"), F.col("d.n").alias("m")), "key")
-            .where("label <> of")
-            .where(alike)
-            .select(F.least("node", "p").alias("u"), F.greatest("node", "p").alias("v"))
-            .distinct()
-        )
-        fresh = materialize(fresh.join(tried.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), ["u", "v"], "left_anti"))
+        parts = named.groupBy("key", "label").agg(F.count("*").alias("c"), F.min_by(F.struct("node", "n"), F.xxhash64("node", F.lit(turn))).alias("d"))
+        # One pivot a bucket: a member of its largest component, in every fourth round of any other.
+        largest = F.max_by(F.struct("label", "d"), F.struct("c", "label"))
+        ranked = parts.groupBy("key").agg(largest.alias("top"), F.count("*").alias("parts"))
+        ranked = ranked.where("parts > 1").select("key", "top")
+        if turn % 4 == 3:
+            others = parts.join(ranked, "key").where("label <> top.label")
+            ranked = others.groupBy("key").agg(F.max_by(F.struct("label", "d"), F.xxhash64("label", F.lit(turn))).alias("top"))
+        pivots = ranked.select("key", F.col("top.label").alias("of"), F.col("top.d.node").alias("p"), F.col("top.d.n").alias("m"))
+        fresh = named.join(pivots, "key").where("label <> of").where(alike).select(F.least("node", "p").alias("u"), F.greatest("node", "p").alias("v")).distinct()
+        fresh = materialize(fresh.join(tried, ["u", "v"], "left_anti"))
         new = materialize(verified(fresh, sets))
-        discard(named)
-        if not new.take(1):
+        idle = 0 if new.take(1) else idle + 1
+        if idle == 4:
             break
-        tried = tried.unionByName(fresh)
-        links = links.unionByName(new)
-        labels = materialize(components(links))
+        if not idle:
+            tried = tried.unionByName(fresh)
+            links = links.unionByName(new)
+            labels = materialize(components(links))
 
     named = nodes.select("d1", "d2", "node").join(labels, "node", "left").select("d1", "d2", F.coalesce("label", "node").alias("class_id"))
     out = signed.select("doc_id", "d1", "d2", "n").join(named, ["d1", "d2"], "left")
