@@ -6,8 +6,10 @@ import json
 import struct
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.functions import pandas_udf
 
 from lakeloom.functions.arrays import coco_annotation, table_annotation
@@ -106,8 +108,8 @@ def embedded_images(table: DataFrame, order: list[str]) -> DataFrame:
     return with_index(rows, [], order)
 
 
-@pandas_udf("map<string,string>")
-def safetensors_metadata(head):  # noqa: ANN001
+@pandas_udf(T.MapType(T.StringType(), T.StringType()))
+def safetensors_metadata(head: pd.Series) -> pd.Series:
     """``__metadata__`` of a safetensors file from its first bytes; empty where they are no such header."""
     out = []
     for raw in head:
@@ -117,8 +119,6 @@ def safetensors_metadata(head):  # noqa: ANN001
             out.append({str(k): v if isinstance(v, str) else json.dumps(v) for k, v in meta.items()})
         except (struct.error, ValueError, TypeError, AttributeError):
             out.append({})
-    import pandas as pd
-
     return pd.Series(out)
 
 
@@ -136,8 +136,6 @@ def read_matlab(spark: SparkSession, path: str, load: Callable[[bytes], list[dic
     """
 
     def run(frames: Iterator) -> Iterator:
-        import pandas as pd
-
         reader = load or _scipy_entries
         for frame in frames:
             rows = []
