@@ -8,8 +8,8 @@ weighted sets. Bands of the signature propose pairs; the Jaccard similarity of t
 
 Documents with equal shingle counts are one class from the start, so copies are never paired. Buckets of at most
 ``SMALL`` classes are compared pair by pair. In a larger one all members are compared with one pivot; then, round by
-round, a bucket in which several components meet takes a new pivot, from its largest component, every fourth time from any
-other, and compares it with the members of all other components, until four rounds link nothing new (at most
+round, a bucket in which several components meet takes ``PIVOTS`` new pivots from its largest component and one from any
+other, and compares them with the members of all other components, until a round links nothing new (at most
 ``MAX_ROUNDS``). No step emits all pairs of a large group. A document meets new pivots in each of its buckets and
 rounds, so a link is lost only between documents that no chain of tested pairs joins.
 
@@ -28,14 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm.common import discard, materialize, mix64, text_groups, words_of
-from lakeloom.llm.components import components
+from lakeloom.llm.components import components, merged
 
 SHINGLE, THRESHOLD = 5, 0.8
 #: A pair of similarity 0.8 shares no band with probability (1 - 0.8**5)**32, about 3 in a million.
 BANDS, ROWS = 32, 5
 SMALL = 16
-#: Rounds of pivots in large buckets, should each still find links.
-MAX_ROUNDS = 12
+#: Pivots of a large bucket in a round, and rounds, should each still find links.
+PIVOTS, MAX_ROUNDS = 4, 4
 _LOW48 = np.uint64((1 << 48) - 1)
 
 
@@ -178,29 +178,24 @@ def classes(docs: DataFrame) -> DataFrame:
     links = materialize(verified(pairs, sets))
     labels = materialize(components(links))
 
-    idle, tried = 0, pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    tried = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     has_large = bool(large.take(1))
     for turn in range(MAX_ROUNDS if has_large else 0):
         named = large.select("key", "node", "n").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        parts = named.groupBy("key", "label").agg(F.count("*").alias("c"), F.min_by(F.struct("node", "n"), F.xxhash64("node", F.lit(turn))).alias("d"))
-        # One pivot a bucket: a member of its largest component, in every fourth round of any other.
-        largest = F.max_by(F.struct("label", "d"), F.struct("c", "label"))
-        ranked = parts.groupBy("key").agg(largest.alias("top"), F.count("*").alias("parts"))
-        ranked = ranked.where("parts > 1").select("key", "top")
-        if turn % 4 == 3:
-            others = parts.join(ranked, "key").where("label <> top.label")
-            ranked = others.groupBy("key").agg(F.max_by(F.struct("label", "d"), F.xxhash64("label", F.lit(turn))).alias("top"))
-        pivots = ranked.select("key", F.col("top.label").alias("of"), F.col("top.d.node").alias("p"), F.col("top.d.n").alias("m"))
+        picks = [F.min_by(F.struct("node", "n"), F.xxhash64("node", F.lit(PIVOTS * turn + i))).alias(f"d{i}") for i in range(PIVOTS)]
+        parts = named.groupBy("key", "label").agg(F.count("*").alias("c"), *picks)
+        # Pivots of a bucket: members of its largest component, and one of a component that hash order chooses.
+        part = F.struct("label", *[f"d{i}" for i in range(PIVOTS)])
+        ranked = parts.groupBy("key").agg(F.max_by(part, F.struct("c", "label")).alias("top"), F.max_by(part, F.xxhash64("label", F.lit(turn))).alias("any"), F.count("*").alias("parts")).where("parts > 1")
+        chosen = F.array_distinct(F.array(*[F.struct(F.col(f"{w}.label").alias("of"), F.col(f"{w}.d{i}.node").alias("p"), F.col(f"{w}.d{i}.n").alias("m")) for w, k in (("top", PIVOTS), ("any", 1)) for i in range(k)]))
+        pivots = ranked.select("key", F.explode(chosen).alias("x")).select("key", "x.*")
         fresh = named.join(pivots, "key").where("label <> of").where(alike).select(F.least("node", "p").alias("u"), F.greatest("node", "p").alias("v")).distinct()
         fresh = materialize(fresh.join(tried, ["u", "v"], "left_anti"))
         new = materialize(verified(fresh, sets))
-        idle = 0 if new.take(1) else idle + 1
-        if idle == 4:
+        if not new.take(1):
             break
-        if not idle:
-            tried = tried.unionByName(fresh)
-            links = links.unionByName(new)
-            labels = materialize(components(links))
+        tried = tried.unionByName(fresh)
+        labels = materialize(merged(labels, new))
 
     named = nodes.select("d1", "d2", "node").join(labels, "node", "left").select("d1", "d2", F.coalesce("label", "node").alias("class_id"))
     out = signed.select("doc_id", "d1", "d2", "n").join(named, ["d1", "d2"], "left")
