@@ -62,8 +62,9 @@ def layout(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out, first, blocks
 
 
-def repeats(padded: np.ndarray) -> np.ndarray:
-    """At each filter's place: whether the eight bytes there also begin 3 to 24 bytes before."""
+def repeats(padded: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """At each filter's place: whether the eight bytes there also begin 3 to 24 bytes before, in the same text, whose
+    first byte is at ``begin``."""
     n = len(padded) - WIDTH
     window = np.lib.stride_tricks.as_strided(padded, (n, WIDTH), (1, 1))
     word = np.ascontiguousarray(window).view(np.uint64)[:, 0]
@@ -72,15 +73,15 @@ def repeats(padded: np.ndarray) -> np.ndarray:
     here = word[at]
     for lag in range(3, 25):
         found |= here == word[np.maximum(at - lag, 0)]
-    return (found & (here != 0) & (at >= 24)).astype(np.float32)
+    return (found & (here != 0) & (at - begin >= 24)).astype(np.float32)
 
 
-def places(padded: np.ndarray) -> np.ndarray:
+def places(padded: np.ndarray, first: np.ndarray, blocks: np.ndarray) -> np.ndarray:
     """Input of each filter place: channels of WIDTH bytes, and the repeat channel."""
     n = len(padded) - WIDTH
     x = _TABLE[padded]
     view = np.lib.stride_tricks.as_strided(x, (n // STRIDE, WIDTH * INPUTS), (STRIDE * INPUTS * 4, 4))
-    return np.concatenate([view, repeats(padded)[:, None]], axis=1)
+    return np.concatenate([view, repeats(padded, np.repeat(first[:-1] * BLOCK, blocks * (BLOCK // STRIDE)))[:, None]], axis=1)
 
 
 def chunk_index(first: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -101,8 +102,10 @@ class QualityModel:
     def forward(self, raw: np.ndarray, offsets: np.ndarray, trace: bool = False):
         p = self.p
         padded, first, blocks = layout(raw, offsets)
-        x = places(padded)
+        x = places(padded, first, blocks)
         conv = x @ p["w1"] + p["b1"]
+        # A text's last place reaches into the next text; the place before has its bytes.
+        conv[first[1:] * (BLOCK // STRIDE) - 1] = -np.inf
         per = BLOCK // STRIDE
         pooled = conv.reshape(-1, per, FILTERS)
         block_max = pooled.max(1)
