@@ -27,7 +27,7 @@ PREFIXES = (4, 5, 6, 7, 8)
 #: A word's least number of toxic documents, and how many times its share of them must exceed its share of clean ones.
 MIN_TOXIC, LIFT = 3, 6.0
 #: Log-odds of a sentence without evidence: so low that thousands of them leave a long document clean.
-BIAS = -10.0
+BIAS = -12.0
 #: ``.``, ``!``, ``?`` and line ends close a sentence.
 _CLOSES = np.zeros(256, bool)
 _CLOSES[[10, 13, 33, 46, 63]] = True
@@ -77,7 +77,7 @@ class ToxicityModel:
         return np.clip(noisy_or(logits, row, len(offsets) - 1), 0, 1), logits, row, start, end
 
 
-def train(rows: list[tuple[str, int]], epochs: int = 300, rate: float = 0.3, decay: float = 1e-4) -> ToxicityModel:
+def train(rows: list[tuple[str, int]], epochs: int = 400, rate: float = 0.3, decay: float = 1e-4) -> ToxicityModel:
     """Full-batch Adagrad on the noisy-or likelihood, classes weighted alike, over words seen in several rows."""
     y = np.array([label for _, label in rows], float)
     if not len(y) or y.min() == y.max():
