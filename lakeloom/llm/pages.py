@@ -4,8 +4,8 @@ A page is parsed into blocks. Blocks of its ``article`` or ``main`` element are
 token stream a page. The streams of a host are concatenated (a separator of its own after each page) and their suffix
 array is built by prefix doubling. A run of at least ``RUN`` tokens that occurs on ``PAGES`` or more distinct pages is
 boilerplate: tokens that such runs cover are removed, and so is whatever its markup names as menu, header, footer,
-sidebar, notice, advert, form or comment; the unique runs that remain are kept. Pages of a host with the same outside
-text count once, so that copies of a page do not turn it into boilerplate.
+sidebar, notice, advert, form or comment; the unique runs that remain are kept. Equal pages of a host count once, so
+that copies of a page do not turn it into boilerplate.
 
 A host is dealt by hash to shards of about ``SHARD`` bytes, and a shard is one suffix array: a host with a third of all
 pages is spread like any other, and memory is bounded by a shard and the longest page.
@@ -145,11 +145,12 @@ def suffix_ranks(tokens: np.ndarray, length: int) -> np.ndarray:
     return rank
 
 
-def covered(streams: list[list[str]], run: int = RUN, pages: int = PAGES) -> list[np.ndarray]:
-    """For each page's tokens, whether a run that ``pages`` or more distinct pages share covers it."""
-    first: dict[tuple[str, ...], int] = {}
+def covered(streams: list[list[str]], keys: list | None = None, run: int = RUN, pages: int = PAGES) -> list[np.ndarray]:
+    """For each page's tokens, whether a run that ``pages`` or more distinct pages share covers it. Pages with equal
+    ``keys`` (by default, with equal tokens) are one page."""
+    first: dict = {}
     ids: dict[str, int] = {}
-    own = [first.setdefault(tuple(s), i) for i, s in enumerate(streams)]
+    own = [first.setdefault(k, i) for i, k in enumerate(keys or [tuple(s) for s in streams])]
     tokens, page = [], []
     for i in sorted(set(own)):
         tokens += [ids.setdefault(t, len(ids)) for t in streams[i]] + [-1 - i]
@@ -179,7 +180,7 @@ def covered(streams: list[list[str]], run: int = RUN, pages: int = PAGES) -> lis
 def extract(pages: list[list[tuple[int, str]]]) -> list[str]:
     """Main texts of the parsed pages of one shard of a host."""
     outside = [[t for kind, text in blocks if kind < 2 for t in text.split()] for blocks in pages]
-    flags = covered(outside)
+    flags = covered(outside, [tuple(blocks) for blocks in pages])
     out = []
     for blocks, flag in zip(pages, flags):
         texts, at = [], 0
