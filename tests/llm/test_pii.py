@@ -1,0 +1,99 @@
+import hashlib
+import random
+import re
+
+import pytest
+
+from lakeloom.llm import pii, queries
+from lakeloom.llm.common import read_table
+from tests.conftest import SF
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def valid(kind, m):
+    digits = re.sub("[^0-9]", "", m)
+    if kind == "ip":
+        return all(int(x) <= 255 for x in m.split("."))
+    if kind == "phone":
+        return 9 <= len(digits) <= 15
+    if kind == "card":
+        doubled = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
+        return 13 <= len(digits) <= 19 and sum(x - 9 if x > 9 else x for x in doubled) % 10 == 0
+    return True
+
+
+def brute(text):
+    return [f"{k}:{m.start()}:{m.end()}" for k, p in PATTERNS.items() for m in re.finditer(p, text or "") if valid(k, m.group())]
+
+
+def check(rows, texts):
+    for r in rows:
+        want = brute(texts[r["doc_id"]])
+        assert r["base_sha256"] == hashlib.sha256(",".join(want).encode()).hexdigest()
+        assert r["spans"].split(",")[: len(want)] == want or not want
+        assert [r[f"n_{k}"] for k in PATTERNS] == [sum(x.startswith(k) for x in want) for k in PATTERNS]
+        rest = [x.split(":") for x in r["spans"].split(",")[len(want) :] if x]
+        taken = [tuple(map(int, x.split(":")[1:])) for x in want]
+        assert all(k in pii.ADDED and not any(a < int(e) and int(s) < b for a, b in taken) for k, s, e in rest)
+
+
+def test_query_equals_brute_force(spark):
+    texts = {r["doc_id"]: r["text"] for r in read_table(spark, SF, "documents").collect()}
+    rows = queries.queries()["op6_pii"](spark, SF).collect()
+    assert len(rows) == len(texts)
+    check(rows, texts)
+
+
+def test_main_path_is_native(spark):
+    docs = read_table(spark, SF, "documents")
+    plan = pii.report(docs, pii.fit(docs))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|Exchange", plan)
+
+
+def test_random_and_adversarial_texts(spark):
+    rng = random.Random(5)
+    parts = ["a@b.c", "a@b", "@", "x.y@z-1.co..q@r.s", "1.2.3.4", "256.1.1.1", "001.02.3.4.5.6.7.8", "4111 1111 1111 1111", "4111-1111-1111-1111", "4111111111111111"]
+    parts += [" ", "-", "+1 (555) 555-0199", "+", "5", "é😀", "\n", ".", "12", "--", "..", "+12345678", 'token = "73d74656391396c3efc1d06034ff67f14d7a089e"', "(", ")"]
+    rows = [(i, "".join(rng.choice(parts) for _ in range(rng.randint(0, 22)))) for i in range(1500)]
+    rows += [(9000, None), (9001, ""), (9002, "1 " * 20_000), (9003, "a@" + "b." * 20_000), (9004, "7" * 60_000), (9005, "a" * 100_000 + "@"), (9006, "+1" * 9000)]
+    docs = spark.createDataFrame([(*r, 1, "z") for r in rows], "doc_id long, text string, kind int, spans string").repartition(4)
+    model = pii.fit(docs)
+    got = pii.report(docs, model).collect()
+    assert len(got) == len(rows)
+    check(got, dict(rows))
+    redacted = {r["doc_id"]: r["text"] for r in pii.redact(docs, model).collect()}
+    spans = {r["doc_id"]: r["spans"] for r in got}
+    for d, text in rows:
+        found = sorted((int(s), int(e), k) for k, s, e in (x.split(":") for x in spans[d].split(",") if x))
+        out, at = [], 0
+        for s, e, k in sorted(found, key=lambda x: (x[0], list(pii.TAGS).index(x[2]), x[1])):
+            if e > at:
+                out += [(text or "")[at:s], pii.TAGS[k] if s >= at else ""]
+                at = e
+        assert redacted[d] == (text if not found else "".join(out) + text[at:])
+    assert pii.redact(docs, model).columns == docs.columns
+
+
+def test_trees_learn_the_labels_and_sql_agrees(spark):
+    base = dict.fromkeys(pii.FEATURES, 0)
+    cells = [{**base, "kind": 4, "hex": 1, "size": 10, "quoted": 1, "named": 1, "n": 50}, {**base, "kind": 4, "letters": 2, "size": 6, "named": 0, "n": 40}, {**base, "kind": 2, "digits": 16, "checks": 1, "named": 0, "n": 9}, {**base, "kind": 2, "digits": 16, "named": 0, "n": 90}]
+    model = pii.boost(cells)
+    assert all((model.probability(c) > 0.5) == bool(pii.label(c)) for c in cells)
+    row = spark.createDataFrame([tuple([c[k] for k in pii.FEATURES]) for c in cells], ", ".join(f"{k} int" for k in pii.FEATURES))
+    from pyspark.sql import functions as F
+
+    got = row.select(F.struct(*pii.FEATURES).alias("f")).select(F.expr(model.sql("f")).alias("p")).collect()
+    assert sorted(r["p"] for r in got) == pytest.approx(sorted(model.probability(c) for c in cells))
+
+
+def test_no_candidates(spark):
+    docs = spark.createDataFrame([(1, "plain"), (1, "plain")], "doc_id long, text string")
+    assert [r["spans"] for r in pii.report(docs, pii.fit(docs)).collect()] == ["", ""]
+    none = docs.where("false")
+    assert pii.report(none, pii.fit(none)).count() == 0
