@@ -23,11 +23,17 @@ def style_clusters(df: DataFrame, latent: str, k: int = 16, seed: int = 42, name
     return out.unionByName(rest)
 
 
+#: Most prototypes or centroids; they travel with every task as one array.
+MAX_PROTOTYPES = 10_000
+
+
 def _best(df: DataFrame, latent: str, table: DataFrame, key: str, value: str, measure, largest: bool, name: str) -> DataFrame:
-    """The table's key with the best measure; the table (a fixed set of prototypes) is one array on every row."""
+    """The table's key with the best measure; the table (a fixed set of prototypes) is one scalar subquery."""
+    if table.limit(MAX_PROTOTYPES + 1).count() > MAX_PROTOTYPES:
+        raise ValueError(f"more than {MAX_PROTOTYPES} prototypes; cluster them first")
     rows = table.agg(F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), F.col(value).cast("array<double>").alias("v")))).alias("_table"))
     ranked = F.transform("_table", lambda p: F.struct((measure(F.col(latent), p["v"]) * (-1.0 if largest else 1.0)).alias("m"), p["k"].alias("k")))
-    return df.crossJoin(F.broadcast(rows)).withColumn(name, F.array_min(F.filter(ranked, lambda r: r["m"].isNotNull()))["k"]).drop("_table")
+    return df.withColumn("_table", rows.scalar()).withColumn(name, F.array_min(F.filter(ranked, lambda r: r["m"].isNotNull()))["k"]).drop("_table")
 
 
 def zero_shot(df: DataFrame, latent: str, prototypes: DataFrame, key: str = "tag", value: str = "prototype", name: str = "style_tag") -> DataFrame:

@@ -40,6 +40,10 @@ class Registry:
         v = self.version()
         return self.spark.read.schema(SCHEMA).parquet(f"{self.path}/v={v}") if v else self.spark.createDataFrame([], SCHEMA)
 
+    def view(self, name: str = "registry") -> None:
+        """The version in force as a temporary view, for SQL."""
+        self.read().createOrReplaceTempView(name)
+
     def append(self, rows: DataFrame) -> int:
         """Adds rows (missing columns become null) to the version in force; one job commit. Returns the version."""
         self.create()

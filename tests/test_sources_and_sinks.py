@@ -141,6 +141,12 @@ def test_registry_shards_and_reports(spark, tmp_path):
     reg.set_clusters(spark.createDataFrame([(1, 5), (2, 3)], "id long, cluster_id int"))
     got = reg.read()
     assert {r["id"]: r["cluster_id"] for r in got.collect()} == {1: 5, 2: 3, 3: -1} and reg.version() == 2
+    reg.view("registry")
+    assert [r["name"] for r in spark.sql("SELECT name FROM registry WHERE source = 's1' ORDER BY cluster_id, id").collect()] == ["p_s1_000000001", "p_s1_000000000"]
+    assert spark.sql("SELECT DISTINCT source FROM registry").count() == 2
+    assert spark.sql("SELECT id, clip_latent FROM registry WHERE clip_latent IS NOT NULL").count() == 0
+    plan = spark.sql("SELECT id FROM registry WHERE source = 's1'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(source" in plan
     shards.write_shards(got, str(tmp_path / "out"), "P", "X")
     tars = sorted((tmp_path / "out").iterdir())
     assert all(t.name.startswith("Ps1X-") and t.suffix == ".tar" for t in tars)
