@@ -61,7 +61,7 @@ def sentence_logits(weights: np.ndarray, bias: float, feature: np.ndarray, sente
 
 def noisy_or(logits: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
     """1 - prod(1 - sigmoid(logit)) of each row, in logarithms."""
-    return -np.expm1(-np.bincount(row, np.logaddexp(0, logits), n))
+    return 0.0 - np.expm1(-np.bincount(row, np.logaddexp(0, logits), n))
 
 
 class ToxicityModel:
