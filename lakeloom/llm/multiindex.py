@@ -170,8 +170,9 @@ def link_summary(vectors: DataFrame, threshold: float = THRESHOLD, target: float
     filed = nodes.select("node", "copies", "v").mapInArrow(file, "node long, copies long, cell long, raw binary")
     filed = materialize(filed)
     occupied = filed.groupBy("cell").agg(F.count("*").alias("held"))
-    # A cell's classes are dealt to blocks by hash, so that no block grows with the cell.
-    dealt = filed.join(occupied, "cell").withColumn("block", F.pmod(F.xxhash64("node", F.lit(2)), F.ceil(F.col("held") / BLOCK)))
+    # A cell's classes are dealt to blocks by hash, so that no block grows with the cell. The grid has at most MOST**2
+    # cells, which bounds the table that is broadcast.
+    dealt = filed.join(F.broadcast(occupied), "cell").withColumn("block", F.pmod(F.xxhash64("node", F.lit(2)), F.ceil(F.col("held") / BLOCK)))
     lists = dealt.groupBy("cell", "block").agg(F.collect_list(F.struct("node", "copies", "raw")).alias("l"))
     lists = lists.select("cell", F.col("l.node").alias("nodes"), F.col("l.copies").alias("copies"), F.col("l.raw").alias("raws"))
 
