@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-RUN, PAGES, SHARD = 6, 3, 8 << 20
+RUN, PAGES, SHARD = 6, 3, 1 << 20
 #: Hosts above a shard that the plan may name (their shard counts are broadcast); a shard grows once they are more.
 MOST_HOSTS = 1_000_000
 
