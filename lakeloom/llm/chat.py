@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.llm.common import bound_batches
+
 #: Tokens of a window, the most repeated turns, and their share of a window.
 BUDGET, HISTORY, HISTORY_SHARE = 1024, 2, 0.25
 _TOKEN = re.compile(r"\w+|[^\w\s]")
@@ -145,7 +147,7 @@ def format_windows(conversations: DataFrame, budget: int = BUDGET, history: int
         if ready:
             yield pa.RecordBatch.from_pylist(ready, schema=_WINDOW)
 
-    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", "text")
+    rows = bound_batches(conversations).select(F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", "text")
     ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
     return ordered.select("conv_id", F.col("role").cast("string"), F.col("text").cast("string")).mapInArrow(run, WINDOW_SQL)
 
@@ -217,6 +219,6 @@ def read_back(windows: DataFrame, in_order: bool = False) -> DataFrame:
 
     if not in_order:
         windows = windows.repartition("conv_id").sortWithinPartitions("conv_id", "window")
-    return windows.select("conv_id", "repeated", "text", "loss").mapInArrow(
+    return bound_batches(windows).select("conv_id", "repeated", "text", "loss").mapInArrow(
         run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_windows long"
     )

@@ -26,6 +26,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of an Arrow batch: batches of a fixed number of rows would grow with the texts.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(df: DataFrame) -> DataFrame:
+    """The frame, in a session whose Arrow batches are bounded in bytes (unless its own configuration says how)."""
+    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.sparkContext.getConf().get(key) is None:
+        spark.conf.set(key, str(BATCH_BYTES))
+    return df
+
+
 def flat_text(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all rows in one array, and row offsets (one more than rows). Null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

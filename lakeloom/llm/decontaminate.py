@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import WORD_TABLE
+from lakeloom.llm.common import WORD_TABLE, bound_batches
 
 #: Patterns of one automaton; a larger benchmark is scanned by several, one pass of the text for each, in the same job.
 MAX_PATTERNS = 2_000_000
@@ -144,7 +144,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_cols: tup
                 )
             yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SCHEMA)
+    return bound_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SCHEMA)
 
 
 _ARROW = pa.schema(
@@ -173,4 +173,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -
         for batch in batches:
             yield batch.filter(pa.array([not hits(kept["a"], x.as_py())[1] for x in batch.column(at)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return bound_batches(docs).mapInArrow(run, docs.schema)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.llm.common import held_out_bucket, read_table
+from lakeloom.llm.common import bound_batches, held_out_bucket, read_table
 
 #: Bounds of the reference: languages, rows drawn for each (expected), characters of a row and of a language.
 MAX_LANGS, PER_LANG, ROW_CHARS, REF_CHARS = 64, 150, 600, 20_000
@@ -213,7 +213,7 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 langs, scores = shared.value.classify(texts)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), pa.array(langs, pa.string()), pa.array(scores)], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
+    return bound_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
         run, "doc_id long, lang_pred string, score double"
     )
 
@@ -233,7 +233,7 @@ def keep_known(docs: DataFrame, model: LanguageModel, min_score: float = 0.0) ->
                 keep = pa.array([x != "und" and s >= min_score for x, s in zip(langs, scores)], pa.bool_())
                 yield pa.RecordBatch.from_arrays(columns, names=names).filter(keep)
 
-    return docs.mapInArrow(run, schema)
+    return bound_batches(docs).mapInArrow(run, schema)
 
 
 def fit_on(spark: SparkSession, sf_dir: str) -> LanguageModel:

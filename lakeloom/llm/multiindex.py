@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import materialize
+from lakeloom.llm.common import bound_batches, materialize
 from lakeloom.llm.components import components
 
 THRESHOLD = 0.95
@@ -139,7 +139,7 @@ def _forest(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np
 
 def link_summary(vectors: DataFrame, threshold: float = THRESHOLD, target: float = TARGET) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every row of ``vec_id, embedding``."""
-    spark = vectors.sparkSession
+    spark = bound_batches(vectors).sparkSession
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("v"))
     dim_row = rows.where("v is not null").groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
     alone = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import discard, materialize, mix64, text_groups, words_of
+from lakeloom.llm.common import bound_batches, discard, materialize, mix64, text_groups, words_of
 from lakeloom.llm.components import components, merged
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -151,7 +151,7 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) ->
 
 def classes(docs: DataFrame) -> DataFrame:
     """``doc_id, class_id`` of every row: the smallest doc_id among all documents that links of similarity 0.8 join."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = bound_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = materialize(texts.mapInArrow(_signatures, "doc_id long, d1 long, d2 long, n long, bands array<long>"))
     nodes = materialize(
         signed.where("n > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands"))

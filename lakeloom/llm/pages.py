@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.llm.common import bound_batches
+
 RUN, PAGES, SHARD = 6, 3, 1 << 20
 #: Hosts above a shard that the plan may name (their shard counts are broadcast); a shard grows once they are more.
 MOST_HOSTS = 1_000_000
@@ -212,7 +214,7 @@ _PARSED = pa.schema(
 
 def main_text(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page. One shuffle, of the parsed blocks, by host and shard."""
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    rows = bound_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1)), F.lit(""))
     rows = rows.withColumn("host", host)
     bytes_of = rows.groupBy("host").agg(F.sum(F.coalesce(F.octet_length("html"), F.lit(0))).alias("bytes"))

@@ -22,10 +22,12 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.llm.common import bound_batches
+
 MARK = "▁"
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Words whose ids a worker remembers, besides those of the texts in hand.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 
 
 class PieceModel:
@@ -63,7 +65,7 @@ class PieceModel:
         early = {x for k, r in zip(keys, ranks) for x in (k >> 20, k & 0xFFFFF) if r <= own[x]}
         self.steady = np.array([r not in early for r in self.results.tolist()], bool)
         self.size = n
-        self.char_ids = np.full(0x110000, -1, np.int64)
+        self.char_ids = np.full(0x110000, -1, np.int32)
         for p, i in self.id_of.items():
             if len(p) == 1:
                 self.char_ids[ord(p)] = i
@@ -110,7 +112,8 @@ class PieceModel:
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
         # A character without a piece is a negative symbol of its own, which never merges.
-        symbol = np.where(self.char_ids[points] >= 0, self.char_ids[points], -2 - points.astype(np.int64))
+        symbol = self.char_ids[points].astype(np.int64)
+        symbol = np.where(symbol >= 0, symbol, -2 - points.astype(np.int64))
         word = np.repeat(np.arange(len(words)), sizes)
         done_symbol, done_word = [], []
         while len(symbol):
@@ -228,7 +231,7 @@ def encode(docs: DataFrame, path: str, with_ids: bool = True) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_at(path)
         for batch in batches:
-            for first, texts in groups(batch.column(1), 1 << 21):
+            for first, texts in groups(batch.column(1), 1 << 20):
                 ids = model.encode(texts)
                 columns = [
                     batch.column(0).slice(first, len(texts)),
@@ -240,6 +243,6 @@ def encode(docs: DataFrame, path: str, with_ids: bool = True) -> DataFrame:
                     columns.append(pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
+    return bound_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
     )

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import flat_text, labelled_sample, text_groups
+from lakeloom.llm.common import bound_batches, flat_text, labelled_sample, text_groups
 
 #: Bytes of a filter, between its places, of a pooling block, and blocks of a chunk and between chunks.
 WIDTH, STRIDE, BLOCK, CHUNK, STEP = 8, 4, 64, 4, 3
@@ -189,4 +189,4 @@ def score(docs: DataFrame, model: QualityModel) -> DataFrame:
                 logit = shared.value.forward(raw, offsets).astype(np.float64)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(1 / (1 + np.exp(-logit)))], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, score double")
+    return bound_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, score double")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import labelled_sample, text_groups, words_of
+from lakeloom.llm.common import bound_batches, labelled_sample, text_groups, words_of
 
 BITS = 18
 #: Bounds of the training sample: rows of each class, and characters of a row.
@@ -164,4 +164,4 @@ def score(docs: DataFrame, model: ToxicityModel, locate_from: float = 0.5) -> Da
                     schema=_ARROW,
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SCHEMA)
+    return bound_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SCHEMA)
