@@ -179,7 +179,7 @@ def classes(docs: DataFrame) -> DataFrame:
     labels = materialize(components(links))
 
     tried = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    has_large = bool(large.take(1))
+    has_large, done = bool(large.take(1)), [members, pairs, sets, links]
     for turn in range(MAX_ROUNDS if has_large else 0):
         named = large.select("key", "node", "n").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         picks = [F.min_by(F.struct("node", "n"), F.xxhash64("node", F.lit(PIVOTS * turn + i))).alias(f"d{i}") for i in range(PIVOTS)]
@@ -194,9 +194,12 @@ def classes(docs: DataFrame) -> DataFrame:
         new = materialize(verified(fresh, sets))
         if not new.take(1):
             break
-        tried = tried.unionByName(fresh)
+        tried, before = tried.unionByName(fresh), labels
         labels = materialize(merged(labels, new))
+        done += [fresh, new, before]
 
+    for used in done:
+        discard(used)
     named = nodes.select("d1", "d2", "node").join(labels, "node", "left").select("d1", "d2", F.coalesce("label", "node").alias("class_id"))
     out = signed.select("doc_id", "d1", "d2", "n").join(named, ["d1", "d2"], "left")
     return out.select("doc_id", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))
