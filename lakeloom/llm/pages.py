@@ -45,6 +45,7 @@ NAMES = frozenset(
     "masthead cookie cookies consent notice notices gdpr popup modal overlay subscribe newsletter signup login search share sharing social comment "
     "comments respond replies disqus related recommended widget toolbar pagination pager".split()
 )
+ABOUT = frozenset("has no not with without".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -61,8 +62,10 @@ def marked(name: str, attributes: str, inside: bool) -> bool:
     for key, value in _ATTR.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
         if key in ("class", "id"):
-            found = NAMES.intersection(_WORD.findall(value))
-            if found and not (inside and found == {"header"}) and name not in ("article", "main", "body", "html"):
+            words = _WORD.findall(value)
+            found = NAMES.intersection(words)
+            # ``has-sidebar`` or ``no-footer`` name what stands elsewhere.
+            if found and not ABOUT.intersection(words) and not (inside and found == {"header"}) and name not in ("article", "main", "body", "html"):
                 return True
         elif key == "role" and value in ROLES:
             return True

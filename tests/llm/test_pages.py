@@ -61,6 +61,7 @@ def test_markup():
         "<div role='main'>m</div><div role=navigation>n</div>": "m",
         "<article><div hidden>no</div><p style='display: none'>no</p>yes</article>": "yes",
         "<article>5 < 6 and <3</article>": "5 < 6 and <3",
+        "<div class='layout has-sidebar'><article>in</article></div>": "in",
         "<article><script>never closed": "",
     }
     for body, want in cases.items():
