@@ -47,7 +47,7 @@ class Registry:
     def append(self, rows: DataFrame) -> int:
         """Adds rows (missing columns become null) to the version in force; one job commit. Returns the version."""
         self.create()
-        self._fit(rows).write.mode("append").partitionBy("dataset", "source").parquet(f"{self.path}/v={self.version()}")
+        self._balanced(self._fit(rows)).write.mode("append").partitionBy("dataset", "source").parquet(f"{self.path}/v={self.version()}")
         return self.version()
 
     def replace(self, rows: DataFrame) -> int:
@@ -61,12 +61,17 @@ class Registry:
         new = clusters.select("id", F.col("cluster_id").cast("int").alias("_new"))
         return self.replace(self.read().join(new, "id", "left").withColumn("cluster_id", F.coalesce("_new", "cluster_id")).drop("_new"))
 
+    @staticmethod
+    def _balanced(rows: DataFrame) -> DataFrame:
+        """Rows of a partition together, so that it gets few files; a large source is split over several tasks."""
+        return rows.hint("rebalance", "dataset", "source")
+
     def _fit(self, rows: DataFrame) -> DataFrame:
         fields = self.spark.createDataFrame([], SCHEMA).schema.fields
         return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(-1 if f.name == "cluster_id" else None)).cast(f.dataType).alias(f.name) for f in fields])
 
     def _write(self, rows: DataFrame, v: int) -> None:
-        rows.write.mode("overwrite").partitionBy("dataset", "source").parquet(f"{self.path}/v={v}")
+        self._balanced(rows).write.mode("overwrite").partitionBy("dataset", "source").parquet(f"{self.path}/v={v}")
         if not rows.take(1):
             fs, p = self._fs(f"{self.path}/v={v}")
             fs.mkdirs(p)
