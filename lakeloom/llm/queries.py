@@ -38,7 +38,7 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.classes(read_table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+    return found.select("doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"))
 
 
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
