@@ -10,8 +10,9 @@ Documents with equal shingle counts are one class from the start, so copies are
 ``SMALL`` classes are compared pair by pair. In a larger one all members are compared with one pivot; then, round by
 round, a bucket in which several components meet takes ``PIVOTS`` new pivots from its largest component and one from any
 other, and compares them with the members of all other components, until a round links nothing new (at most
-``MAX_ROUNDS``). No step emits all pairs of a large group. A document meets new pivots in each of its buckets and
-rounds, so a link is lost only between documents that no chain of tested pairs joins.
+``MAX_ROUNDS``). The rounds only save work: where several components are left in a bucket, every member outside its
+largest one is then compared with every member, block against block, so that each pair of a bucket is either compared
+or joined already. A pair of blocks emits a forest; no step emits all pairs of a large group.
 
 Edge cases: a text of fewer than five words is one shingle of all its words; null, empty and wordless texts have no
 shingle and are a class each; rows with equal ``doc_id`` fall into one class; a null ``doc_id`` links with nothing;
@@ -36,6 +37,8 @@ BANDS, ROWS = 32, 5
 SMALL = 16
 #: Pivots of a large bucket in a round, and rounds, should each still find links.
 PIVOTS, MAX_ROUNDS = 4, 4
+#: Documents of a block at most, and shingles of a block (fewer documents where a bucket has long ones).
+BLOCK, BLOCK_SHINGLES = 256, 1 << 20
 _LOW48 = np.uint64((1 << 48) - 1)
 
 
@@ -149,6 +152,79 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) ->
     return both.where(common >= F.lit(threshold) * (F.size("su") + F.size("sv") - common) - 1e-9).select(F.col("u").alias("a"), F.col("v").alias("b"))
 
 
+_LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def shared(a: list[np.ndarray], b: list[np.ndarray], step: int = 2048) -> np.ndarray:
+    """Sizes of the intersections of all sets of ``a`` with all sets of ``b``."""
+    out = np.zeros((len(a), len(b)), np.int64)
+    rows = [np.repeat(np.arange(len(x)), [len(y) for y in x]) for x in (a, b)]
+    flat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b)]
+    both = np.intersect1d(*flat)
+    at = [np.searchsorted(both, x) for x in flat]
+    held = [np.flatnonzero(both[np.minimum(k, len(both) - 1)] == x) if len(both) else np.zeros(0, np.int64) for k, x in zip(at, flat)]
+    held = [h[np.argsort(k[h], kind="stable")] for h, k in zip(held, at)]
+    columns = [k[h] for h, k in zip(held, at)]
+    for first in range(0, len(both), step):
+        tables = []
+        for h, c, r, n in zip(held, columns, rows, out.shape):
+            low, high = np.searchsorted(c, [first, first + step])
+            table = np.zeros((n, min(step, len(both) - first)), np.float32)
+            table[r[h[low:high]], c[low:high] - first] = 1
+            tables.append(table)
+        out += (tables[0] @ tables[1].T).astype(np.int64)
+    return out
+
+
+def _forest(cell: pa.Table) -> pa.Table:
+    """Links of a cell's two blocks that join components: at most one less than the components."""
+    node, label, side = (cell.column(k).to_numpy() for k in ("node", "label", "side"))
+    column = cell.column("shingles").combine_chunks()
+    cuts = column.offsets.to_numpy()
+    flat = column.values.to_numpy()
+    sets = [flat[x:y] for x, y in zip(cuts[:-1], cuts[1:])]
+    one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    found = []
+    if len(one) and len(two):
+        common = shared([sets[k] for k in one], [sets[k] for k in two])
+        size = np.diff(cuts)
+        near = common >= THRESHOLD * (size[one][:, None] + size[two][None, :] - common) - 1e-9
+        u, v = np.nonzero(near & (label[one][:, None] != label[two][None, :]))
+        u, v = one[u], two[v]
+        top: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while top.setdefault(x, x) != x:
+                top[x] = top[top[x]]
+                x = top[x]
+            return x
+
+        first = np.unique(np.stack([label[u], label[v]], 1), axis=0, return_index=True)[1] if len(u) else []
+        for k in first:
+            p, q = root(int(label[u[k]])), root(int(label[v[k]]))
+            if p != q:
+                top[max(p, q)] = min(p, q)
+                found.append((int(node[u[k]]), int(node[v[k]])))
+    return pa.Table.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], schema=_LINKS)
+
+
+def block_links(named: DataFrame, sets: DataFrame) -> DataFrame:
+    """``a, b``: links that join the components (``label``) left in the buckets of ``key, node, n, label``."""
+    parts = named.groupBy("key", "label").agg(F.count("*").alias("c"), F.max("n").alias("n"))
+    open_ = parts.groupBy("key").agg(F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("c"), F.max("n").alias("most"), F.count("*").alias("parts"))
+    width = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.floor(F.lit(BLOCK_SHINGLES) / F.col("most"))))
+    open_ = open_.where("parts > 1").select("key", F.col("top.label").alias("top"), F.ceil((F.col("c") - F.col("top.c")) / width).alias("ni"), F.ceil(F.col("c") / width).alias("nj"))
+    members = named.join(open_, "key")
+
+    def dealt(rows: DataFrame, side: int, own: str, other: str) -> DataFrame:
+        mine = F.pmod(F.xxhash64("node", "key", F.lit(side)), F.col(f"n{own}")).cast("int").alias(own)
+        every = F.explode(F.sequence(F.lit(0), (F.col(f"n{other}") - 1).cast("int"))).alias(other)
+        return rows.select("key", "node", "label", F.lit(side).alias("side"), mine, every).select("key", "node", "label", "side", "i", "j")
+
+    cells = dealt(members.where("label <> top"), 0, "i", "j").unionByName(dealt(members, 1, "j", "i"))
+    return cells.join(sets, "node").groupBy("key", "i", "j").applyInArrow(_forest, "a long, b long")
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """``doc_id, class_id`` of every row: the smallest doc_id among all documents that links of similarity 0.8 join."""
     texts = bound_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -197,6 +273,12 @@ def classes(docs: DataFrame) -> DataFrame:
         tried, before = tried.unionByName(fresh), labels
         labels = materialize(merged(labels, new))
         done += [fresh, new, before]
+    if has_large:
+        named = large.select("key", "node", "n").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        rest = materialize(block_links(named, sets))
+        if rest.take(1):
+            labels = materialize(merged(labels, rest))
+        done.append(rest)
 
     for used in done:
         discard(used)

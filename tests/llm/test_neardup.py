@@ -67,6 +67,20 @@ def test_classes_equal_brute_force(spark):
     assert dict(classes(spark, rows)) == brute(rows)
 
 
+def test_large_buckets_are_complete(spark):
+    # All texts share a passage (similarity 0.78) and meet in large buckets; only the two of a pair are alike (0.81).
+    base = [f"base{i}" for i in range(104)]
+    rows = [(2 * p + k, " ".join(base + [f"pair{p}a", f"pair{p}b"] + [f"own{p}x{k}x{i}" for i in range(12)])) for p in range(100) for k in range(2)]
+    assert dict(classes(spark, rows)) == brute(rows)
+
+
+def test_shared_counts_all_pairs():
+    rng = random.Random(3)
+    sets = [np.array(sorted(rng.sample(range(60), rng.randint(0, 30))), np.int64) for _ in range(20)]
+    want = [[len(set(x.tolist()) & set(y.tolist())) for y in sets[:7]] for x in sets]
+    assert neardup.shared(sets, sets[:7], 8).tolist() == want and neardup.shared([], sets).shape == (0, 20)
+
+
 def test_edges(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, "a b c d e f"), (None, None)]
     got = sorted(classes(spark, rows), key=str)
