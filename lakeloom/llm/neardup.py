@@ -4,7 +4,10 @@ A document is its distinct shingles of five words, each weighted ``1 + ln(count)
 whose rate is its weight; its arrivals fall on random components of the signature, and a component keeps the earliest.
 A shingle stops as soon as its next arrival is later than all components (early termination), so a document costs about
 its shingles plus the signature's length. Two signatures agree in a component with the probability Jaccard of the two
-weighted sets. Bands of the signature propose pairs; the Jaccard similarity of the exact shingle sets decides.
+weighted sets. Bands of the signature propose pairs; the Jaccard similarity of the exact shingle sets decides. Repeated
+shingles can make the probability Jaccard much smaller than that of the sets, so a document that has some also files the
+bands of its signature with all weights 1, whose agreement is the Jaccard similarity of the sets. (Without repeated
+shingles both signatures are the same.)
 
 Documents with equal shingle counts are one class from the start, so copies are never paired. Buckets of at most
 ``SMALL`` classes are compared pair by pair. In a larger one all members are compared with one pivot; then, round by
@@ -32,7 +35,8 @@ from lakeloom.llm.common import bound_batches, discard, materialize, mix64, text
 from lakeloom.llm.components import components, merged
 
 SHINGLE, THRESHOLD = 5, 0.8
-#: A pair of similarity 0.8 shares no band with probability (1 - 0.8**5)**32, about 3 in a million.
+#: A pair of similarity 0.8 shares no band with probability (1 - 0.8**5)**32, about 3 in a million, whatever its counts:
+#: the bands of weight 1 are among those of every document.
 BANDS, ROWS = 32, 5
 SMALL = 16
 #: Pivots of a large bucket in a round, and rounds, should each still find links.
@@ -119,12 +123,19 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     stop = np.cumsum(size)
                     digest.append(total[stop] - total[stop - size])
             keys = band_keys(signature)
+            twice = np.unique(row[count > 1])
+            some = np.isin(row, twice)
+            plain = keys.copy()
+            plain[twice] = band_keys(prob_minhash(np.searchsorted(twice, row[some]), element[some], np.ones(some.sum()), len(twice), BANDS * ROWS))
+            filed = np.concatenate([np.ones_like(keys, bool), plain != keys], axis=1)
+            cuts = np.concatenate([[0], np.cumsum(filed.sum(1))]).astype(np.int32)
+            keys = np.concatenate([keys, plain], axis=1)[filed]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(first, n),
                     *(pa.array(d.view(np.int64)) for d in digest),
                     pa.array(size),
-                    pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * BANDS), pa.array(keys.ravel().view(np.int64))),
+                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(keys.view(np.int64))),
                 ],
                 schema=_SIGN,
             )

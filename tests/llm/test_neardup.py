@@ -74,6 +74,16 @@ def test_large_buckets_are_complete(spark):
     assert dict(classes(spark, rows)) == brute(rows)
 
 
+def test_repeated_lines_do_not_hide_a_link(spark):
+    # Sets of similarity 0.81 each, whose weighted signatures agree in half of their components.
+    rows = []
+    for p in range(30):
+        common = [f"common{p}x{i}" for i in range(48)]
+        rows += [(2 * p, " ".join(common)), (2 * p + 1, " ".join(common + [f"line{p}x{i}" for i in range(6)] * 300))]
+    want = brute(rows)
+    assert all(want[2 * p + 1] == 2 * p for p in range(30)) and dict(classes(spark, rows)) == want
+
+
 def test_shared_counts_all_pairs():
     rng = random.Random(3)
     sets = [np.array(sorted(rng.sample(range(60), rng.randint(0, 30))), np.int64) for _ in range(20)]
