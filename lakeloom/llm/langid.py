@@ -3,10 +3,11 @@
 For each language a suffix automaton of labelled text is built; a text is parsed greedily into the longest phrases that
 occur in that text, and the language that needs the fewest phrases per character wins. All parses of a batch walk their
 automata together: a lane is one segment of a text in one language, and a step moves every lane by one symbol, so the
-work is a few numpy gathers per symbol. Whole texts are parsed; a text is cut into segments only to fill lanes, and a
+work is a few numpy gathers per symbol. Every letter of the references is a symbol of its own: the most frequent ones
+index a dense table, transitions on all others are sorted keys that are searched. Whole texts are parsed; a text is cut into segments only to fill lanes, and a
 phrase that a cut splits counts once more for every language alike.
 
-Edge cases: null texts and texts without a letter are ``und`` with score 0; a symbol that no reference has breaks the
+More than ``MAX_LANGS`` labels are an error. Edge cases: null texts and texts without a letter are ``und`` with score 0; a symbol that no reference has breaks the
 phrase in every language; repeated rows get the same result; ties go to the language that sorts first; with no
 labelled row everything is ``und``; other columns are ignored by :func:`predict` and kept by :func:`keep_known`.
 """
@@ -25,7 +26,7 @@ from lakeloom.llm.common import bound_batches, held_out_bucket, read_table
 
 #: Bounds of the reference: languages, rows drawn for each (expected), characters of a row and of a language.
 MAX_LANGS, PER_LANG, ROW_CHARS, REF_CHARS = 64, 150, 600, 20_000
-#: Symbols told apart: the most frequent characters of the references; all others are one symbol that they lack.
+#: Symbols of the dense table: the most frequent letters of the references; transitions on other letters are sparse.
 SYMBOLS = 63
 #: Characters of a lane.
 SEGMENT = 256
@@ -47,8 +48,8 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
-    """Transitions of the suffix automaton of a sequence, dense: states x alphabet, -1 where no substring goes on."""
+def transitions(symbols: list[int]) -> list[dict[int, int]]:
+    """Transitions of each state of the suffix automaton of a sequence."""
     moves: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in symbols:
@@ -74,10 +75,21 @@ def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[current] = clone
         last = current
+    return moves
+
+
+def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
+    """Transitions of the suffix automaton of a sequence, dense: states x alphabet, -1 where no substring goes on."""
+    return dense(transitions(symbols), alphabet)
+
+
+def dense(moves: list[dict[int, int]], alphabet: int) -> np.ndarray:
+    """Transitions on the symbols below ``alphabet`` as a table."""
     table = np.full((len(moves), alphabet), -1, np.int32)
     for state, row in enumerate(moves):
         for c, to in row.items():
-            table[state, c] = to
+            if c < alphabet:
+                table[state, c] = to
     return table
 
 
@@ -87,26 +99,43 @@ class LanguageModel:
     def __init__(self, texts: dict[str, str]):
         self.langs = sorted(k for k, v in texts.items() if v)
         folded = {k: texts[k].lower() for k in self.langs}
-        symbol = np.zeros(_TOP, np.uint8)
+        symbol = np.zeros(_TOP, np.int32)
         points = [code_points(v) for v in folded.values()]
         every = np.concatenate(points) if points else np.zeros(0, np.uint32)
         chars, counts = np.unique(every[letters()[every]], return_counts=True)
         chosen = sorted(chars[np.lexsort((chars, -counts))][: SYMBOLS - 1].tolist())
+        others = np.setdiff1d(chars, chosen)
         # 0: a letter that the references lack; 1: whatever is no letter.
         symbol[~letters()] = 1
         symbol[chosen] = np.arange(2, 2 + len(chosen))
-        self.symbol, self.alphabet = symbol, 2 + len(chosen)
-        tables, self.roots, self.sizes = [], [], []
+        symbol[others] = np.arange(2 + len(chosen), 2 + len(chars))
+        self.symbol, self.alphabet, self.every = symbol, 2 + len(chosen), 2 + len(chars)
+        tables, self.roots, self.sizes, sparse = [], [], [], []
         base = 0
         for x in points:
             s = self.symbols(x)
-            t = suffix_automaton(s.tolist(), self.alphabet)
+            moves = transitions(s.tolist())
+            sparse += [((state + base) * self.every + c, to + base) for state, row in enumerate(moves) for c, to in row.items() if c >= self.alphabet]
+            t = dense(moves, self.alphabet)
             t[:, 0] = -1
             tables.append(np.where(t >= 0, t + base, -1))
             self.roots.append(base)
             self.sizes.append(max(2, len(s)))
             base += len(t)
         self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
+        # Transitions on letters outside the dense table; the last key is above all others.
+        sparse = np.array(sorted(sparse) + [(np.iinfo(np.int64).max, -1)], np.int64)
+        self.keys, self.targets = sparse[:, 0].copy(), sparse[:, 1].astype(np.int32)
+
+    def moved(self, state: np.ndarray, c: np.ndarray, rare: np.ndarray) -> np.ndarray:
+        """States after the symbols ``c``, -1 where there is none; ``rare``: places of symbols outside the dense table."""
+        if not len(rare):
+            return self.table[state * self.alphabet + c]
+        to = self.table[state * self.alphabet + np.where(c < self.alphabet, c, 0)]
+        key = state[rare].astype(np.int64) * self.every + c[rare]
+        at = np.searchsorted(self.keys, key)
+        to[rare] = np.where(self.keys[at] == key, self.targets[at], -1)
+        return to
 
     def symbols(self, points: np.ndarray) -> np.ndarray:
         """Symbols of code points; a run of what is no letter is one symbol."""
@@ -130,17 +159,17 @@ class LanguageModel:
         owner, first, size = owner[order], first[order], size[order]
         live = np.searchsorted(-size, -np.arange(1, SEGMENT + 1), "right")
         grid = flat[np.minimum(first[:, None] + np.arange(size[0]), len(flat) - 1)].T.astype(np.int32)
+        rare = [np.flatnonzero(grid[step, : live[step]] >= self.alphabet) for step in range(size[0])]
         for k, root in enumerate(self.roots):
             state = np.full(len(owner), root, np.int32)
             count = np.ones(len(owner), np.int32)
-            table, a = self.table, self.alphabet
             for step in range(size[0]):
                 n = live[step]
                 c = grid[step, :n]
-                to = table[state[:n] * a + c]
+                to = self.moved(state[:n], c, rare[step])
                 broken = np.flatnonzero(to < 0)
                 if len(broken):
-                    again = table[root * a + c[broken]]
+                    again = self.moved(np.full(len(broken), root, np.int32), c[broken], np.flatnonzero(c[broken] >= self.alphabet))
                     to[broken] = np.where(again < 0, root, again)
                     count[broken] += 1
                 state[:n] = to
@@ -173,8 +202,10 @@ def fit(spark: SparkSession, docs: DataFrame, learn_from: object | None = None)
     if learn_from is not None:
         known = known.where(learn_from)
     known = known.select("doc_id", "lang", "text")
-    # A label that few rows carry is no language to learn; the list is bounded, whatever the labels hold.
-    counts = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
+    found = known.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGS + 1).collect()
+    if len(found) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages are labelled")
+    counts = spark.createDataFrame(found, T.StructType([T.StructField("lang", T.StringType()), T.StructField("n", T.LongType())]))
     at = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.greatest(F.lit(1), F.length("text") - ROW_CHARS + 1)).cast("int") + 1
     rows = (
         known.join(F.broadcast(counts), "lang")

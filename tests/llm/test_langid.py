@@ -74,3 +74,23 @@ def test_edges(spark):
 def test_ties_go_to_the_first_language():
     model = langid.LanguageModel({"b": "same text", "a": "same text"})
     assert model.classify(["same"])[0] == ["a"] and model.classify(["same"])[1][0] == pytest.approx(0.5)
+
+
+def test_letters_beyond_the_dense_table_count():
+    rng = np.random.default_rng(4)
+    scripts = {"en": (97, 26), "ru": (0x430, 32), "el": (0x3B1, 17), "zh": (0x4E00, 900), "ko": (0xAC00, 700), "hi": (0x905, 50)}
+    words = {k: ["".join(chr(first + i) for i in rng.integers(0, n, 4)) for _ in range(150)] for k, (first, n) in scripts.items()}
+    # Two languages of one large script are told apart by their words.
+    words["ja"] = ["".join(chr(0x4E00 + i) for i in rng.integers(0, 900, 4)) for _ in range(150)]
+    text = lambda k, n: " ".join(rng.choice(words[k], n))
+    model = langid.LanguageModel({k: text(k, 300 + 50 * i) for i, k in enumerate(sorted(words))})
+    want = [k for k in sorted(words) for _ in range(5)]
+    assert model.classify([text(k, 30) for k in want])[0] == want
+
+
+def test_too_many_languages_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGS", 2)
+    learn = spark.createDataFrame([(i, "some words", f"l{i}") for i in range(3)], "doc_id long, text string, lang string")
+    assert langid.fit(spark, learn.where("doc_id < 2")).langs == ["l0", "l1"]
+    with pytest.raises(ValueError):
+        langid.fit(spark, learn)
