@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -124,11 +126,12 @@ def held_out_bucket(doc_id: Column, folds: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string")), F.lit(folds))
 
 
-def labelled_sample(spark: SparkSession, sf_dir: str, label: str, per_class: int, max_chars: int) -> list[tuple[str, int]]:
-    """A bounded sample of labelled training rows, the same on every run: at most ``per_class`` of each label.
+def labelled_sample(spark: SparkSession, sf_dir: str, label: str, per_class: int, max_bytes: int) -> list[tuple[str, int]]:
+    """A bounded sample of whole labelled training texts, the same on every run.
 
-    Ids are chosen from ``labels`` by hash, then joined (a broadcast of at most ``2 * per_class`` ids) to their texts.
-    A text longer than ``max_chars`` gives one window of that length, at a place set by its id's hash.
+    At most ``per_class`` ids of each label are chosen from ``labels`` by hash and joined (a broadcast of at most
+    ``2 * per_class`` ids) to their texts; an id with several texts gives the one that sorts first. In hash order, texts
+    are taken as long as ``max_bytes`` bytes hold them (one that would not fit is passed over, never cut).
     """
     known = (
         read_table(spark, sf_dir, "labels")
@@ -136,23 +139,36 @@ def labelled_sample(spark: SparkSession, sf_dir: str, label: str, per_class: int
         .groupBy("doc_id")
         .agg(F.max(label).alias("y"))
     )
+    order = F.xxhash64("doc_id", F.lit(17))
     ids = None
     for y in (0, 1):
-        part = known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id").limit(per_class)
+        part = known.where(F.col("y") == y).orderBy(order, "doc_id").limit(per_class)
         ids = part if ids is None else ids.unionByName(part)
-    at = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.greatest(F.lit(1), F.length("text") - max_chars + 1)).cast("int") + 1
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text").where(F.col("text").isNotNull())
-    rows = docs.join(F.broadcast(ids), "doc_id").select("doc_id", F.substring("text", at, F.lit(max_chars)).alias("text"), "y").collect()
+    found = docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y"))
+    found = materialize(found.withColumn("size", F.octet_length("text")))
+    room, chosen = {0: max_bytes // 2, 1: max_bytes // 2}, []
+    for r in found.orderBy(order, "doc_id").select("doc_id", "y", "size").collect():
+        if r["size"] <= room[r["y"]]:
+            room[r["y"]] -= r["size"]
+            chosen.append(r["doc_id"])
+    rows = found.where(F.col("doc_id").isin(chosen)).select("doc_id", "text", "y").collect() if chosen else []
+    discard(found)
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
     return [(r["text"], int(r["y"])) for r in rows]
 
 
+#: Intermediates that are still there; what queries have not removed goes at the end of the process.
+_LEFT: dict[str, SparkSession] = {}
+
+
 def scratch_dir(spark: SparkSession) -> str:
-    """A fresh folder under spark.checkpoint.dir, which all executors share; a local one only where that is unset."""
+    """A fresh folder under spark.checkpoint.dir, which all executors share; a local one only on a local master."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not re.match(r"local(\[|\Z)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = f"{tempfile.gettempdir()}/lakeloom-checkpoints"
-        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/lakeloom-{uuid.uuid4().hex}"
 
 
@@ -160,16 +176,30 @@ def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
     """Writes the frame once to the shared folder and reads it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = path or scratch_dir(spark)
+    _LEFT[path] = spark
     df.write.mode("overwrite").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._lakeloom_path = path
     return out
 
 
-def discard(df: DataFrame | None) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+    _LEFT.pop(path, None)
+
+
+def discard(*frames: DataFrame | None) -> None:
     """Removes what :func:`materialize` wrote."""
-    path = getattr(df, "_lakeloom_path", None)
-    if path:
-        jvm = df.sparkSession._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+    for df in frames:
+        if path := getattr(df, "_lakeloom_path", None):
+            remove(df.sparkSession, path)
+
+
+@atexit.register
+def _remove_left() -> None:
+    for path, spark in list(_LEFT.items()):
+        try:
+            remove(spark, path)
+        except Exception:  # The JVM may be gone already; then the folder's owner cleans it.
+            return

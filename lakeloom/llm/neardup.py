@@ -18,8 +18,9 @@ largest one is then compared with every member, block against block, so that eac
 or joined already. A pair of blocks emits a forest; no step emits all pairs of a large group.
 
 Edge cases: a text of fewer than five words is one shingle of all its words; null, empty and wordless texts have no
-shingle and are a class each; rows with equal ``doc_id`` fall into one class; a null ``doc_id`` links with nothing;
-other columns are ignored by :func:`classes` and kept by :func:`keep_one`.
+shingle and are a class each; rows with equal ``doc_id`` and different texts are documents of their own, each with the
+class of its text; a null ``doc_id`` links with nothing; other columns are ignored by :func:`classes` and kept by
+:func:`keep_one` (but ``_near_text``, a name it uses).
 """
 
 from __future__ import annotations
@@ -105,7 +106,7 @@ def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np
     return h
 
 
-_SIGN = pa.schema([("doc_id", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("n", pa.int64()), ("bands", pa.list_(pa.int64()))])
+_SIGN = pa.schema([("doc_id", pa.int64()), ("t", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("n", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,6 +134,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(first, n),
+                    batch.column(2).slice(first, n),
                     *(pa.array(d.view(np.int64)) for d in digest),
                     pa.array(size),
                     pa.ListArray.from_arrays(pa.array(cuts), pa.array(keys.view(np.int64))),
@@ -236,13 +238,32 @@ def block_links(named: DataFrame, sets: DataFrame) -> DataFrame:
     return cells.join(sets, "node").groupBy("key", "i", "j").applyInArrow(_forest, "a long, b long")
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """``doc_id, class_id`` of every row: the smallest doc_id among all documents that links of similarity 0.8 join."""
-    texts = bound_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = materialize(texts.mapInArrow(_signatures, "doc_id long, d1 long, d2 long, n long, bands array<long>"))
-    nodes = materialize(
-        signed.where("n > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-    )
+class _Found:
+    """What the links say: every row with its digests, every text class with its representative row and component."""
+
+    def __init__(self, signed: DataFrame, nodes: DataFrame, labels: DataFrame):
+        self.signed, self.nodes, self.labels = signed, nodes, labels
+
+    def parts(self) -> DataFrame:
+        """``node, label`` with the first row (``doc``, ``t``) of the component."""
+        named = self.nodes.select("node", "d1", "d2", "doc", "t").join(self.labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        tops = named.groupBy("label").agg(F.min(F.struct("doc", "t")).alias("top"))
+        return named.select("d1", "d2", "label").join(tops, "label").select("d1", "d2", F.col("top.doc").alias("class_id"), F.col("top.t").alias("class_t"))
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return bound_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("t"))
+
+
+def _find(docs: DataFrame) -> _Found:
+    """Links every pair of similarity 0.8. A node is a class of texts with equal shingle counts; its number is its own, so
+    that ids which several texts carry cannot be confused, and its representative is its first row by id."""
+    texts = _texts(docs)
+    signed = materialize(texts.mapInArrow(_signatures, "doc_id long, t long, d1 long, d2 long, n long, bands array<long>"))
+    grouped = signed.where("n > 0 and doc_id is not null").groupBy("d1", "d2")
+    grouped = grouped.agg(F.min(F.struct("doc_id", "t")).alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+    nodes = materialize(grouped.select(F.monotonically_increasing_id().alias("node"), "d1", "d2", F.col("rep.doc_id").alias("doc"), F.col("rep.t").alias("t"), "n", "bands"))
     filed = nodes.select("node", "n", F.explode("bands").alias("key"))
     sizes = filed.groupBy("key").agg(F.count("*").alias("c"), F.min("node").alias("pivot")).where("c > 1")
     members = materialize(filed.join(sizes, "key").select("key", "node", "n", "c", "pivot"))
@@ -258,10 +279,10 @@ def classes(docs: DataFrame) -> DataFrame:
     pairs = small_pairs.unionByName(large_pairs.select(F.col("pivot").alias("u"), F.col("node").alias("v"))).distinct()
     pairs = materialize(pairs)
 
-    wanted = members.select(F.col("node").alias("doc_id")).distinct()
-    sets = materialize(
-        texts.join(wanted, "doc_id").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "text").mapInArrow(_sets, "node long, shingles array<long>")
-    )
+    # Texts that can have a partner: both ends of the pairs, and all of large buckets, by their representative rows.
+    wanted = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).unionByName(large.select("node")).distinct()
+    wanted = nodes.select("node", F.col("doc").alias("doc_id"), "t").join(wanted, "node", "left_semi")
+    sets = materialize(texts.join(wanted, ["doc_id", "t"]).dropDuplicates(["node"]).select("node", "text").mapInArrow(_sets, "node long, shingles array<long>"))
     links = materialize(verified(pairs, sets))
     labels = materialize(components(links))
 
@@ -291,15 +312,26 @@ def classes(docs: DataFrame) -> DataFrame:
             labels = materialize(merged(labels, rest))
         done.append(rest)
 
-    for used in done:
-        discard(used)
-    named = nodes.select("d1", "d2", "node").join(labels, "node", "left").select("d1", "d2", F.coalesce("label", "node").alias("class_id"))
-    out = signed.select("doc_id", "d1", "d2", "n").join(named, ["d1", "d2"], "left")
+    discard(*done)
+    return _Found(signed, nodes, labels)
+
+
+def classes(docs: DataFrame) -> DataFrame:
+    """``doc_id, class_id`` of every row: the smallest doc_id among all documents that links of similarity 0.8 join."""
+    found = _find(docs)
+    out = found.signed.select("doc_id", "d1", "d2", "n").join(found.parts().drop("class_t"), ["d1", "d2"], "left")
     return out.select("doc_id", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The document with the smallest id of each class, and every row without an id; all columns unchanged."""
-    kept = classes(docs).where("doc_id = class_id").select("doc_id").distinct()
-    once = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
-    return once.unionByName(docs.where("doc_id is null"))
+    """The first document (by id, then by its text's hash) of each class, all columns unchanged; rows that are a class
+    each (without an id, or without a word) all stay. Of rows with equal id and text that represent a class one stays."""
+    found = _find(docs)
+    kept = found.parts().select(F.col("class_id").alias("doc_id"), F.col("class_t").alias("_near_text")).distinct()
+    keyed = docs.withColumn("_near_text", F.xxhash64(F.col("text").cast("string")))
+    alone = found.signed.where("n = 0 and doc_id is not null").select("doc_id", F.col("t").alias("_near_text")).distinct()
+    same = [keyed["doc_id"].cast("long") == kept["doc_id"], keyed["_near_text"] == kept["_near_text"]]
+    once = keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_near_text"]).select(docs.columns)
+    same = [keyed["doc_id"].cast("long") == alone["doc_id"], keyed["_near_text"] == alone["_near_text"]]
+    wordless = keyed.join(alone, same, "left_semi").select(docs.columns)
+    return once.unionByName(wordless).unionByName(docs.where(F.col("doc_id").isNull()))

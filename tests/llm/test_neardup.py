@@ -101,6 +101,23 @@ def test_edges(spark):
     assert neardup.classes(docs.where("false")).count() == 0
 
 
+def test_template_corpus_is_complete(spark):
+    # 300 texts share a template of 1,000 words; the two of a pair are alike (0.82), those of different pairs are not (0.78).
+    base = [f"T{i}" for i in range(1000)]
+    rows = [(2 * p + k, " ".join(base + [f"pair{p}x{i}" for i in range(25)] + [f"own{p}x{k}x{i}" for i in range(112)])) for p in range(150) for k in range(2)]
+    got = dict(classes(spark, rows))
+    assert all(got[2 * p] == got[2 * p + 1] == 2 * p for p in range(150))
+
+
+def test_repeated_ids_lose_no_text(spark):
+    a, b, c = "alpha beta gamma delta epsilon zeta", "one two three four five six seven", "red green blue white black grey"
+    rows = [(7, a), (7, b), (8, b), (9, c), (9, c), (9, None), (10, ""), (10, ""), (None, a)]
+    docs = spark.createDataFrame([(d, t, f"s{i}", 1) for i, (d, t) in enumerate(rows)], "doc_id long, text string, source string, node int")
+    kept = sorted(((r["doc_id"], r["text"]) for r in neardup.keep_one(docs).collect()), key=str)
+    assert kept == sorted([(7, a), (7, b), (9, c), (9, None), (10, ""), (10, ""), (None, a)], key=str)
+    assert sorted(classes(spark, rows), key=str) == sorted([(7, 7), (7, 7), (8, 7), (9, 9), (9, 9), (9, 9), (10, 10), (10, 10), (None, None)], key=str)
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(40)] + [(7, 7), (1, 0)]
