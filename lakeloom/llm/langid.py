@@ -2,14 +2,19 @@
 
 For each language a suffix automaton of labelled text is built; a text is parsed greedily into the longest phrases that
 occur in that text, and the language that needs the fewest phrases per character wins. All parses of a batch walk their
-automata together: a lane is one segment of a text in one language, and a step moves every lane by one symbol, so the
-work is a few numpy gathers per symbol. Every letter of the references is a symbol of its own: the most frequent ones
-index a dense table, transitions on all others are sorted keys that are searched. Whole texts are parsed; a text is cut into segments only to fill lanes, and a
-phrase that a cut splits counts once more for every language alike.
-
-More than ``MAX_LANGS`` labels are an error. Edge cases: null texts and texts without a letter are ``und`` with score 0; a symbol that no reference has breaks the
-phrase in every language; repeated rows get the same result; ties go to the language that sorts first; with no
-labelled row everything is ``und``; other columns are ignored by :func:`predict` and kept by :func:`keep_known`.
+automata together: a lane is a stretch of a text in one language, and a step moves every lane by one symbol, so the work
+is a few numpy gathers per symbol. Every letter of the references is a symbol of its own: the most frequent ones index a
+dense table, transitions on all others are sorted keys that are searched.
+
+Whole texts are parsed, and stretches leave no trace in the result: a lane first begins a phrase where its stretch
+begins; then the phrase that is open at the end of the stretch before goes on into it, breaking where it must, until a
+phrase begins where the lane began one too. From there both parses are the same. Where a stretch ends before that, the
+next one is entered again, until nothing changes.
+
+More than ``MAX_LANGS`` labels are an error. Edge cases: null texts and texts without a letter are ``und`` with score 0;
+a symbol that a reference lacks is a phrase of its own there; repeated rows get the same result; ties go to the language
+that sorts first; with no labelled row everything is ``und``; other columns are ignored by :func:`predict` and kept by
+:func:`keep_known`.
 """
 
 from __future__ import annotations
@@ -22,14 +27,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.llm.common import bound_batches, held_out_bucket, read_table
+from lakeloom.llm.common import bound_batches, discard, held_out_bucket, materialize, read_table
 
-#: Bounds of the reference: languages, rows drawn for each (expected), characters of a row and of a language.
-MAX_LANGS, PER_LANG, ROW_CHARS, REF_CHARS = 64, 150, 600, 20_000
-#: Symbols of the dense table: the most frequent letters of the references; transitions on other letters are sparse.
-SYMBOLS = 63
-#: Characters of a lane.
-SEGMENT = 256
+#: Bounds of the reference: languages, documents drawn for each (expected), and characters of a language (in whole texts).
+MAX_LANGS, PER_LANG, REF_CHARS = 1024, 200, 30_000
+#: Symbols of the dense table (the most frequent letters of the references; transitions on other letters are sparse) and
+#: entries of the table, which has fewer symbols where there are many languages.
+SYMBOLS, DENSE = 63, 16 << 20
+#: Characters of a lane, and languages that walk together.
+SEGMENT, TOGETHER = 512, 8
 #: How sharply a difference of entropy (bits a character) turns into a score.
 SHARPNESS = 6.0
 
@@ -103,7 +109,8 @@ class LanguageModel:
         points = [code_points(v) for v in folded.values()]
         every = np.concatenate(points) if points else np.zeros(0, np.uint32)
         chars, counts = np.unique(every[letters()[every]], return_counts=True)
-        chosen = sorted(chars[np.lexsort((chars, -counts))][: SYMBOLS - 1].tolist())
+        wide = int(np.clip(DENSE // max(1, 2 * sum(map(len, points))), 4, SYMBOLS)) - 1
+        chosen = sorted(chars[np.lexsort((chars, -counts))][:wide].tolist())
         others = np.setdiff1d(chars, chosen)
         # 0: a letter that the references lack; 1: whatever is no letter.
         symbol[~letters()] = 1
@@ -117,7 +124,7 @@ class LanguageModel:
             moves = transitions(s.tolist())
             sparse += [((state + base) * self.every + c, to + base) for state, row in enumerate(moves) for c, to in row.items() if c >= self.alphabet]
             t = dense(moves, self.alphabet)
-            t[:, 0] = -1
+            t[:, 0] = -1  # A letter that all references lack.
             tables.append(np.where(t >= 0, t + base, -1))
             self.roots.append(base)
             self.sizes.append(max(2, len(s)))
@@ -144,6 +151,16 @@ class LanguageModel:
         keep[1:] = (s[1:] != 1) | (s[:-1] != 1)
         return s[keep]
 
+    def step(self, state: np.ndarray, c: np.ndarray, root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """States after the symbols ``c``, and where a phrase had to begin."""
+        to = self.moved(state, c, np.flatnonzero(c >= self.alphabet))
+        broken = to < 0
+        at = np.flatnonzero(broken)
+        if len(at):
+            again = self.moved(root[at], c[at], np.flatnonzero(c[at] >= self.alphabet))
+            to[at] = np.where(again < 0, root[at], again)
+        return to, broken
+
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Phrases of each text (symbols) in each language."""
         out = np.zeros((len(texts), len(self.langs)))
@@ -153,29 +170,63 @@ class LanguageModel:
             return out
         flat = np.concatenate(texts)
         begin = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-        first = begin[owner] + (np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)) * SEGMENT
+        within = np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)
+        first = begin[owner] + within * SEGMENT
         size = np.minimum(SEGMENT, begin[owner + 1] - first)
         order = np.argsort(-size, kind="stable")
+        # The lane of the stretch before each lane's, and of that after it; -1 at the ends of a text.
+        lane = np.empty(len(order), np.int64)
+        lane[order] = np.arange(len(order))
+        before = np.where(within > 0, lane[np.maximum(np.arange(len(owner)) - 1, 0)], -1)[order]
+        after = np.full(len(order), -1)
+        after[before[before >= 0]] = np.flatnonzero(before >= 0)
         owner, first, size = owner[order], first[order], size[order]
         live = np.searchsorted(-size, -np.arange(1, SEGMENT + 1), "right")
         grid = flat[np.minimum(first[:, None] + np.arange(size[0]), len(flat) - 1)].T.astype(np.int32)
-        rare = [np.flatnonzero(grid[step, : live[step]] >= self.alphabet) for step in range(size[0])]
-        for k, root in enumerate(self.roots):
-            state = np.full(len(owner), root, np.int32)
-            count = np.ones(len(owner), np.int32)
-            for step in range(size[0]):
-                n = live[step]
-                c = grid[step, :n]
-                to = self.moved(state[:n], c, rare[step])
-                broken = np.flatnonzero(to < 0)
-                if len(broken):
-                    again = self.moved(np.full(len(broken), root, np.int32), c[broken], np.flatnonzero(c[broken] >= self.alphabet))
-                    to[broken] = np.where(again < 0, root, again)
-                    count[broken] += 1
-                state[:n] = to
-            out[:, k] = np.bincount(owner, count, len(texts))
+        for k in range(0, len(self.roots), TOGETHER):
+            roots = np.array(self.roots[k : k + TOGETHER], np.int32)
+            wide = len(roots)
+            state = np.tile(roots, len(owner))
+            every_root = state.copy()
+            begins = np.zeros((size[0], len(owner) * wide), bool)
+            begins[0] = True
+            for i in range(size[0]):
+                n = live[i] * wide
+                state[:n], broken = self.step(state[:n], np.repeat(grid[i, : live[i]], wide), every_root[:n])
+                if i:
+                    begins[i, :n] = broken
+            self._join(begins, state, grid, size, before, after, roots)
+            counts = begins.sum(0).reshape(-1, wide)
+            for j in range(wide):
+                out[:, k + j] = np.bincount(owner, counts[:, j], len(texts))
         return out
 
+    def _join(self, begins: np.ndarray, state: np.ndarray, grid: np.ndarray, size: np.ndarray, before: np.ndarray, after: np.ndarray, roots: np.ndarray) -> None:
+        """Lets phrases run on into the next stretch; ``begins`` and the end states become those of the whole parse."""
+        wide = len(roots)
+        lanes = np.repeat(np.flatnonzero(before >= 0), wide)
+        which = np.tile(np.arange(wide), len(lanes) // wide)
+        while len(lanes):
+            lane, root = lanes, roots[which]
+            at, now = lane * wide + which, state[before[lane] * wide + which]
+            changed = []
+            for i in range(int(size[lane].max())):
+                now, broken = self.step(now, grid[i, lane], root)
+                met = broken & begins[i, at]
+                begins[i, at] = broken
+                ends = ~met & (size[lane] == i + 1)
+                if ends.any():
+                    state[at[ends]] = now[ends]
+                    changed.append(at[ends])
+                on = ~(met | ends)
+                if not on.all():
+                    lane, root, at, now = lane[on], root[on], at[on], now[on]
+                    if not len(lane):
+                        break
+            again = np.concatenate(changed) if changed else np.zeros(0, np.int64)
+            lanes, which = after[again // wide], again % wide
+            lanes, which = lanes[lanes >= 0], which[lanes >= 0]
+
     def classify(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Language and score of each text."""
         symbols = [self.symbols(code_points((t or "").lower())) for t in texts]
@@ -196,8 +247,8 @@ class LanguageModel:
 
 
 def fit(spark: SparkSession, docs: DataFrame, learn_from: object | None = None) -> LanguageModel:
-    """Learns from a bounded sample: for each language about PER_LANG rows chosen by hash, ROW_CHARS characters of each
-    (a window at a hashed place) and REF_CHARS in all."""
+    """Learns from a bounded sample of whole texts: of each language about PER_LANG documents chosen by hash, in whose
+    order texts are taken as long as REF_CHARS characters hold them (one that would not fit is passed over)."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     if learn_from is not None:
         known = known.where(learn_from)
@@ -206,17 +257,21 @@ def fit(spark: SparkSession, docs: DataFrame, learn_from: object | None = None)
     if len(found) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages are labelled")
     counts = spark.createDataFrame(found, T.StructType([T.StructField("lang", T.StringType()), T.StructField("n", T.LongType())]))
-    at = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.greatest(F.lit(1), F.length("text") - ROW_CHARS + 1)).cast("int") + 1
-    rows = (
-        known.join(F.broadcast(counts), "lang")
-        .where(F.pmod(F.xxhash64("doc_id"), F.col("n")) < PER_LANG)
-        .select("doc_id", "lang", F.substring("text", at, F.lit(ROW_CHARS)).alias("text"))
-        .collect()
-    )
+    drawn = known.join(F.broadcast(counts), "lang").where(F.pmod(F.xxhash64("doc_id"), F.col("n")) < PER_LANG)
+    # A text that no reference holds is left out before it moves; an id with several texts gives the first.
+    drawn = drawn.where(F.length("text") < REF_CHARS).groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
+    drawn = materialize(drawn)
+    room, chosen = {r["lang"]: REF_CHARS for r in found}, []
+    for r in drawn.select("lang", "doc_id", F.length("text").alias("size")).orderBy("lang", F.xxhash64("doc_id", F.lit(1)), "doc_id").collect():
+        if r["size"] < room[r["lang"]]:
+            room[r["lang"]] -= r["size"] + 1
+            chosen.append((r["lang"], r["doc_id"]))
     texts: dict[str, str] = {}
-    for r in sorted(rows, key=lambda r: (r["lang"], r["doc_id"], r["text"])):
-        if len(texts.get(r["lang"], "")) < REF_CHARS:
-            texts[r["lang"]] = (texts.get(r["lang"], "") + "\n" + r["text"])[:REF_CHARS]
+    if chosen:
+        wanted = spark.createDataFrame(chosen, drawn.select("lang", "doc_id").schema)
+        for r in sorted(drawn.join(F.broadcast(wanted), ["lang", "doc_id"]).collect(), key=lambda r: (r["lang"], r["doc_id"])):
+            texts[r["lang"]] = texts.get(r["lang"], "") + "\n" + r["text"]
+    discard(drawn)
     return LanguageModel(texts)
 
 
@@ -250,9 +305,11 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, model: LanguageModel, min_score: float = 0.0) -> DataFrame:
-    """The documents whose language is known with at least ``min_score``; ``lang`` becomes the prediction."""
+    """The documents whose language is known with at least ``min_score``; ``lang``, where there is one, becomes the
+    prediction."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at, lang_at, names = docs.columns.index("text"), docs.columns.index("lang"), docs.columns
+    names = docs.columns
+    at, lang_at = names.index("text"), names.index("lang") if "lang" in names else -1
     schema = T.StructType([T.StructField("lang", T.StringType()) if f.name == "lang" else f for f in docs.schema])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -28,26 +28,27 @@ def test_automaton_knows_exactly_the_substrings():
             assert accepts(x) == (x in subs)
 
 
-def test_phrases_match_a_plain_parse():
+def test_phrases_match_a_plain_parse(monkeypatch):
     model = langid.LanguageModel({"aa": "the cat sat on the mat", "bb": "der hund und die katze"})
-    for text in ("the cat and the hund", "xyz", "", "katze" * 200, "日本 the"):
+    rng = np.random.default_rng(2)
+    mixed = " ".join(rng.choice("the cat sat on mat der hund und die katze xyz".split(), 900))
+    monkeypatch.setattr(langid, "SEGMENT", 16)
+    for text in ("the cat and the hund", "xyz", "", "katze" * 200, "日本 the", mixed, "the cat sat on the mat " * 60, "x" * 100):
         symbols = model.symbols(langid.code_points(text))
         got = model.phrases([symbols])[0]
         for k, lang in enumerate(model.langs):
             ref = model.symbols(langid.code_points({"aa": "the cat sat on the mat", "bb": "der hund und die katze"}[lang])).tolist()
             known = {tuple(ref[i:j]) for i in range(len(ref)) for j in range(i + 1, len(ref) + 1) if 0 not in ref[i:j]}
-            want = 0
-            for a in range(0, len(symbols), langid.SEGMENT):
-                part, phrase = symbols[a : a + langid.SEGMENT].tolist(), ()
-                want += 1
-                for c in part:
-                    if phrase + (c,) in known:
-                        phrase += (c,)
-                    else:
-                        want += 1
-                        phrase = (c,) if (c,) in known else ()
-            # A first symbol that no phrase takes counts as a break, as in every later place.
+            want, phrase = len(symbols) > 0, ()
+            for i, c in enumerate(symbols.tolist()):
+                if phrase + (c,) in known:
+                    phrase += (c,)
+                else:
+                    want += i > 0
+                    phrase = (c,) if (c,) in known else ()
             assert got[k] == want
+    texts = [model.symbols(langid.code_points(mixed[:n])) for n in (0, 1, 15, 16, 17, 500, 4000)]
+    assert np.array_equal(model.phrases(texts), np.concatenate([model.phrases([t]) for t in texts]))
 
 
 def test_held_out_accuracy(spark):
@@ -67,6 +68,7 @@ def test_edges(spark):
     docs = spark.createDataFrame([(1, None, "s", 0, "k"), (2, "the cat", "s", 7, "k")], "doc_id long, text string, source string, n_chars long, lang string")
     kept = langid.keep_known(docs, model).collect()
     assert [(r["doc_id"], r["lang"], r["n_chars"]) for r in kept] == [(2, "en", 7)]
+    assert langid.keep_known(docs.drop("lang"), model).columns == ["doc_id", "text", "source", "n_chars"]
     empty = langid.fit(spark, learn.where("false"))
     assert langid.predict(docs, empty).collect()[1]["lang_pred"] == "und" and langid.predict(docs.where("false"), model).count() == 0
 
