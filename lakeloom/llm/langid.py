@@ -35,7 +35,7 @@ MAX_LANGS, PER_LANG, REF_CHARS = 1024, 200, 30_000
 #: entries of the table, which has fewer symbols where there are many languages.
 SYMBOLS, DENSE = 63, 16 << 20
 #: Characters of a lane, and languages that walk together.
-SEGMENT, TOGETHER = 512, 8
+SEGMENT, TOGETHER = 256, 8
 #: How sharply a difference of entropy (bits a character) turns into a score.
 SHARPNESS = 6.0
 
@@ -275,7 +275,7 @@ def fit(spark: SparkSession, docs: DataFrame, learn_from: object | None = None)
     return LanguageModel(texts)
 
 
-def _groups(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, list[str | None]]]:
+def _groups(column: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, list[str | None]]]:
     first, size, group = 0, 0, []
     for i, x in enumerate(column):
         text = x.as_py()

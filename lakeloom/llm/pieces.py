@@ -6,6 +6,12 @@ words of a batch lie in one flat numpy array of symbols; in each round every wor
 neighbours (the leftmost among equals), merges its leftmost non-overlapping occurrences together, and the array is
 compacted; words without a pair leave, until none remain. Characters that end up without a piece become byte pieces.
 
+A word of more than ``LONG`` characters has rounds of its own, so that its cost stays in proportion to its length: every
+pair that is the best one (the leftmost among equals) within twice the longest piece to each side merges in the same
+round. Whatever happens farther away ends up in pieces that cannot reach it, so the order among such pairs is free. A
+round that finds hardly any (long runs of equal pairs, where each waits for the one to its left) leaves the rest of the
+word to a queue of pairs.
+
 Edge cases: null and empty texts are only the begin and end ids; lone surrogates cannot occur in Spark strings;
 repeated rows encode alike; very long texts and words are encoded whole; other columns are ignored.
 """
@@ -13,6 +19,7 @@ repeated rows encode alike; very long texts and words are encoded whole; other c
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -28,6 +35,11 @@ MARK = "▁"
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Words whose ids a worker remembers, besides those of the texts in hand.
 CACHE_WORDS = 100_000
+#: Characters from which on a word has rounds of its own, and the pairs of a word for each that a round must merge.
+LONG, SLOW = 256, 1024
+_NEVER = np.iinfo(np.int64).max
+#: Texts whose ids differ where a model folds, composes or trims.
+PROBES = ("ﬁ①Ａ Å Å é ｶﾞ", "  two  spaces \t\n end ", "UPPER lower", "\u00ad\u200b x\u3000y", "▁mark")
 
 
 class PieceModel:
@@ -69,6 +81,7 @@ class PieceModel:
         for p, i in self.id_of.items():
             if len(p) == 1:
                 self.char_ids[ord(p)] = i
+        self.reach = 2 * max(map(len, text.values()), default=1)
         self.forget()
         # A hash table with open slots replaces a binary search over all pairs.
         self.bits = max(4, int(np.ceil(np.log2(max(1, len(keys)) * 4))))
@@ -86,6 +99,11 @@ class PieceModel:
             placed[self.slots[at]] = True
             pending = pending[~placed[pending]]
             self.probes += 1
+        # This encoder changes no character, keeps all spaces and puts one word mark first; a model may ask for else.
+        for probe in PROBES:
+            if self.encode([probe])[0].tolist() != self.lib.encode(probe, add_bos=True, add_eos=True):
+                raise ValueError("the model normalises texts in a way that this encoder lacks")
+        self.forget()
 
     def _slot(self, key: np.ndarray, probe: int) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -107,6 +125,54 @@ class PieceModel:
             todo = todo[~same & (there >= 0)]
         return found
 
+    def merge_long(self, symbol: np.ndarray) -> np.ndarray:
+        """Symbols of one long word after all merges."""
+        merge = self.find(symbol[:-1], symbol[1:])
+        while True:
+            pairs = int((merge >= 0).sum())
+            if not pairs:
+                return symbol
+            n = len(symbol)
+            # Rank, then place: the smallest key of a window is its best pair, the leftmost among equals.
+            key = np.where(merge >= 0, self.ranks[merge] * n + np.arange(n - 1), _NEVER)
+            at = np.flatnonzero((key == _window_min(key, self.reach)) & (merge >= 0))
+            if len(at) * SLOW < pairs:
+                return self.merge_queue(symbol)
+            symbol[at] = self.results[merge[at]]
+            keep = np.ones(n, bool)
+            keep[at + 1] = False
+            place = np.cumsum(keep) - 1
+            # A merge takes the pair to its right with it; its own place holds the pair with what follows.
+            symbol, merge = symbol[keep], np.append(merge, -1)[keep][:-1]
+            fresh = place[at]
+            fresh = np.unique(np.concatenate([fresh, fresh - 1]))
+            fresh = fresh[(fresh >= 0) & (fresh < len(symbol) - 1)]
+            merge[fresh] = self.find(symbol[fresh], symbol[fresh + 1])
+
+    def merge_queue(self, symbol: np.ndarray) -> np.ndarray:
+        """Symbols of one word after all merges, one merge at a time from a queue of pairs."""
+        if not self.table:
+            self.table = dict(zip(self.keys.tolist(), zip(self.ranks.tolist(), self.results.tolist())))
+        s, n, table = symbol.tolist(), len(symbol), self.table
+        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
+        queue = [(found[0], i, s[i], s[i + 1], found[1]) for i in range(n - 1) if s[i] >= 0 <= s[i + 1] and (found := table.get(s[i] << 20 | s[i + 1]))]
+        heapq.heapify(queue)
+        gone = -(1 << 40)
+        while queue:
+            _, i, a, b, made = heapq.heappop(queue)
+            j = after[i]
+            if s[i] != a or j < 0 or s[j] != b:
+                continue
+            s[i], s[j] = made, gone
+            k = after[i] = after[j]
+            if k >= 0:
+                before[k] = i
+            for x, y in ((before[i], i), (i, k)):
+                if x >= 0 <= y and s[x] >= 0 <= s[y] and (found := table.get(s[x] << 20 | s[y])):
+                    heapq.heappush(queue, (found[0], x, s[x], s[y], found[1]))
+        left = np.array(s, np.int64)
+        return left[left != gone]
+
     def merge_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words (with their word marks) one after the other, and the number of each word's ids."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
@@ -116,6 +182,13 @@ class PieceModel:
         symbol = np.where(symbol >= 0, symbol, -2 - points.astype(np.int64))
         word = np.repeat(np.arange(len(words)), sizes)
         done_symbol, done_word = [], []
+        first = np.cumsum(sizes) - sizes
+        for i in np.flatnonzero(sizes > LONG):
+            merged = self.merge_long(symbol[first[i] : first[i] + sizes[i]].copy())
+            done_symbol.append(merged)
+            done_word.append(np.full(len(merged), i))
+        short = (sizes <= LONG)[word]
+        symbol, word = symbol[short], word[short]
         while len(symbol):
             merge = self.find(symbol[:-1], symbol[1:])
             merge[word[1:] != word[:-1]] = -1
@@ -153,7 +226,8 @@ class PieceModel:
         if len(symbol):
             done_symbol.append(symbol)
             done_word.append(word)
-        symbol, word = np.concatenate(done_symbol), np.concatenate(done_word)
+        symbol = np.concatenate([np.zeros(0, np.int64), *done_symbol])
+        word = np.concatenate([np.zeros(0, np.int64), *done_word])
         order = np.argsort(word, kind="stable")
         symbol, word = symbol[order], word[order]
         odd = np.flatnonzero(symbol < 0)
@@ -191,12 +265,26 @@ class PieceModel:
     def forget(self) -> None:
         """Empties the table of words that are encoded already."""
         self.index: dict[str, int] = {}
+        self.table: dict[int, tuple[int, int]] = {}
         self.flat, self.start, self.count = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def decode(self, ids: np.ndarray) -> str:
         return self.lib.decode(ids.tolist())
 
 
+def _window_min(key: np.ndarray, reach: int) -> np.ndarray:
+    """The smallest key within ``reach`` places to each side, by doubling."""
+    padded = np.concatenate([np.full(reach, _NEVER), key, np.full(reach, _NEVER)])
+    size = 2 * reach + 1
+    width = 1
+    while 2 * width <= size:
+        padded = np.minimum(padded[:-width], padded[width:])
+        width *= 2
+    if width < size:
+        padded = np.minimum(padded[: len(padded) - (size - width)], padded[size - width :])
+    return padded[: len(key)]
+
+
 _MODELS: dict[str, PieceModel] = {}
 
 

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -23,6 +24,31 @@ def test_equals_the_library(model):
         assert ids.tolist() == want and model.decode(ids) == model.lib.decode(want)
 
 
+def test_long_words_equal_the_library(model):
+    rng = random.Random(4)
+    for _ in range(150):
+        letters = rng.choice(["ab", "thein", "etaoinshr", "abcdefghijklmnopqrstuvwxyz", "日本語a", "0123", "aA_-", "éàe"])
+        word = "".join(rng.choice(letters) for _ in range(rng.randint(pieces.LONG - 3, 2500)))
+        want = model.lib.encode(word, add_bos=True, add_eos=True)
+        assert model.encode([word, "x", word + "z"])[0].tolist() == want
+        model.forget()
+
+
+def test_long_words_take_time_in_proportion(model):
+    rng = random.Random(5)
+    for word in ("".join(rng.choice("ABCDEFGHabcdefgh0123456789+/") for _ in range(1_000_000)), "a" * 300_000, "the" * 100_000):
+        began = time.time()
+        ids = model.encode([word])[0]
+        assert time.time() - began < 20 and ids.tolist() == model.lib.encode(word, add_bos=True, add_eos=True)
+
+
+def test_the_queue_equals_the_rounds(model):
+    rng = random.Random(6)
+    for _ in range(50):
+        points = [model.char_ids[ord(c)] for c in "".join(rng.choice("thein er") for _ in range(600)).replace(" ", "▁")]
+        assert np.array_equal(model.merge_queue(np.array(points, np.int64)), model.merge_long(np.array(points, np.int64)))
+
+
 def test_forgetting_words_changes_nothing(model, monkeypatch):
     monkeypatch.setattr(pieces, "CACHE_WORDS", 3)
     for text in ("one two three four five", "four five six", "one two"):
