@@ -1,19 +1,21 @@
 """Benchmark decontamination: one Aho-Corasick automaton over normalised benchmark texts scans each text once.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z. A pattern is ``window`` consecutive words of
-an item; an item with fewer words, but not none, is one pattern. Normalised text is its words joined by single
-spaces with one space at each end, so a pattern can only match whole words, and a match end is turned into a word
-index, then into the byte and code-point range of the original text.
+an item; an item with fewer words, but not none, is one pattern. Every word of the benchmark is a symbol, all other words
+are one more that no pattern holds, so the automaton takes one step a word, a match can only be of whole words, and its
+end is the index of its last word, from which the range of code points in the original text follows.
+
+A worker builds the automaton once. It holds the benchmark up to ``ONE_PASS`` bytes; a larger one is dealt by hash to
+shards of that size, and the documents pass one shard after the other, with the same result.
 
 Edge cases: null and empty texts have no words and no hits; repeated rows each get their own result; duplicate items
-share patterns and are all reported; an empty benchmark leaves every document clean; other columns are ignored by
-:func:`scan` and kept by :func:`drop_contaminated`.
+share patterns and are all reported; windows of an item without an id are hits, but it cannot be reported; an empty
+benchmark leaves every document clean; other columns are ignored by :func:`scan` and kept by :func:`drop_contaminated`.
 """
 
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_right
 from collections.abc import Iterator
 
 import ahocorasick
@@ -21,10 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import WORD_TABLE, bound_batches
+from lakeloom.llm.common import WORD_TABLE, bound_batches, discard, materialize
 
-#: Patterns of one automaton; a larger benchmark is scanned by several, one pass of the text for each, in the same job.
-MAX_PATTERNS = 2_000_000
+#: Bytes of benchmark text that one automaton holds (its memory is about a hundred times that).
+ONE_PASS = 8 << 20
+#: Code points that stand for words: all but zero and the surrogates.
+_SYMBOLS = 0x110000 - 0x801
 
 SCHEMA = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, item_ids array<string>, spans array<struct<start:long,end:long>>"
 
@@ -33,57 +37,66 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(WORD_TABLE).split()
 
 
-def patterns_of(items: list[tuple[object, str | None]], window: int) -> dict[str, tuple[int, list[str]]]:
-    """Pattern text -> number of words and ids of the items that have it."""
-    found: dict[str, tuple[int, list[str]]] = {}
-    for item_id, text in items:
-        w = words(text)
-        if not w or item_id is None:
-            continue
-        n = min(window, len(w))
-        for i in range(len(w) - n + 1):
-            key = b" %s " % b" ".join(w[i : i + n])
-            entry = found.setdefault(key.decode("latin-1"), (n, []))
-            if str(item_id) not in entry[1]:
-                entry[1].append(str(item_id))
-    return found
-
-
-def build(patterns: dict[str, tuple[int, list[str]]]) -> list[ahocorasick.Automaton]:
-    made, keys = [], sorted(patterns)
-    for at in range(0, len(keys), MAX_PATTERNS):
+def merge(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(ranges):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _symbol(i: int) -> str:
+    return chr(i + 1 if i + 1 < 0xD800 else i + 0x801)
+
+
+class Matcher:
+    """The patterns of benchmark items; its automaton is built where it is first used, once a worker."""
+
+    def __init__(self, items: list[tuple[object, str | None]], window: int = 10):
+        self.items, self.window, self.automaton = items, window, None
+
+    def __getstate__(self) -> dict:
+        return {"items": self.items, "window": self.window, "automaton": None}
+
+    def build(self) -> None:
+        texts = [(None if i is None else str(i), words(t)) for i, t in self.items]
+        number: dict[bytes, int] = {}
+        for _, w in texts:
+            for x in w:
+                number.setdefault(x, len(number))
+        # More words than code points take two symbols, of which the first ones come from one half of them.
+        self.wide = 1 if len(number) < _SYMBOLS else 2
+        half = _SYMBOLS // 2
+        self.symbols = {x: _symbol(i) if self.wide == 1 else _symbol(i % half) + _symbol(half + i // half) for x, i in number.items()}
+        found: dict[str, tuple[int, dict[str, None]]] = {}
+        for item, w in texts:
+            n = min(self.window, len(w))
+            line = [self.symbols[x] for x in w]
+            for i in range(len(w) - n + 1 if n else 0):
+                ids = found.setdefault("".join(line[i : i + n]), (n, {}))[1]
+                if item is not None:
+                    ids[item] = None
         automaton = ahocorasick.Automaton()
-        for key in keys[at : at + MAX_PATTERNS]:
-            automaton.add_word(key, patterns[key])
+        for key, (n, ids) in found.items():
+            automaton.add_word(key, (n, tuple(ids)))
         automaton.make_automaton()
-        made.append(automaton)
-    return made
-
-
-def hits(automata: list[ahocorasick.Automaton], text: str | None) -> tuple[int, list[tuple[int, int]], set[str]]:
-    """Number of words, merged ranges of hit words (first, end), and ids of the items found."""
-    w = words(text)
-    if not w:
-        return 0, [], set()
-    flat = b" %s " % b" ".join(w)
-    low, found, items, starts = flat.decode("latin-1"), [], set(), None
-    for automaton in automata:
-        for end, (n, ids) in automaton.iter(low):
-            if starts is None:
-                starts, at = [], 1
-                for x in w:
-                    starts.append(at)
-                    at += len(x) + 1
-            last = bisect_right(starts, end - 1)
-            found.append((last - n, last))
+        self.automaton = automaton
+
+    def hits(self, text: str | None) -> tuple[int, list[tuple[int, int]], set[str]]:
+        """Number of words, merged ranges of hit words (first, end), and ids of the items found."""
+        if self.automaton is None:
+            self.build()
+        w = words(text)
+        if not w or not len(self.automaton):
+            return len(w), [], set()
+        none, get = "\0" * self.wide, self.symbols.get
+        items: set[str] = set()
+        found = [(end // self.wide + 1, n, ids) for end, (n, ids) in self.automaton.iter("".join([get(x, none) for x in w]))]
+        for ids in {ids for _, _, ids in found}:
             items.update(ids)
-    merged: list[tuple[int, int]] = []
-    for a, b in sorted(found):
-        if merged and a <= merged[-1][1]:
-            merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
-        else:
-            merged.append((a, b))
-    return len(w), merged, items
+        return len(w), merge([(end - n, end) for end, n, _ in found]), items
 
 
 def to_original(text: str, ranges: list[tuple[int, int]]) -> list[dict[str, int]]:
@@ -103,48 +116,18 @@ def to_original(text: str, ranges: list[tuple[int, int]]) -> list[dict[str, int]
     return out
 
 
-def benchmark_items(benchmark: DataFrame, text_cols: tuple[str, ...] = ("text",), id_col: str = "item_id") -> list[tuple[object, str | None]]:
-    """The benchmark's texts (questions and answers, each column a text of its own), on the driver.
+def matchers(benchmark: DataFrame, window: int, text_cols: tuple[str, ...] = ("text",), id_col: str = "item_id") -> Iterator[Matcher]:
+    """Matchers of the benchmark's texts (questions and answers, each column a text of its own): one, or one a shard.
 
-    A benchmark is a fixed set of test items and does not grow with the corpus; its size is checked.
+    A benchmark is a fixed set of test items and does not grow with the corpus; a shard at a time is on the driver.
     """
+    spark = benchmark.sparkSession
     size = benchmark.agg(F.sum(sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in text_cols), F.lit(0)))).first()[0] or 0
-    if size > 512 << 20:
-        raise ValueError(f"the benchmark holds {size} bytes; split it and scan in several passes")
-    rows = benchmark.select(id_col, *text_cols).collect()
-    return [(r[id_col], r[c]) for r in rows for c in text_cols]
-
-
-def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_cols: tuple[str, ...] = ("text",)) -> DataFrame:
-    """One row per document: words, hit words, items found, and the hit ranges in the original text (code points)."""
-    items = benchmark_items(benchmark, text_cols)
-    shared = docs.sparkSession.sparkContext.broadcast(items)
-    kept: dict[str, list] = {}
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if "a" not in kept:
-            kept["a"] = build(patterns_of(shared.value, window))
-        for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                text = text.as_py()
-                n, ranges, found = hits(kept["a"], text)
-                ids = sorted(found)
-                rows.append(
-                    {
-                        "doc_id": doc_id,
-                        "n_words": n,
-                        "n_hit": sum(b - a for a, b in ranges),
-                        "n_items": len(ids),
-                        "items_sha256": hashlib.sha256(",".join(ids).encode()).hexdigest(),
-                        "contaminated": bool(ranges),
-                        "item_ids": ids,
-                        "spans": to_original(text, ranges) if ranges else [],
-                    }
-                )
-            yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
-
-    return bound_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SCHEMA)
+    shards = max(1, -(-size // ONE_PASS))
+    for k in range(shards):
+        part = benchmark.where(F.pmod(F.xxhash64(*text_cols), F.lit(shards)) == k) if shards > 1 else benchmark
+        rows = part.select(id_col, *text_cols).collect()
+        yield spark.sparkContext.broadcast(Matcher([(r[id_col], r[c]) for r in rows for c in text_cols], window))
 
 
 _ARROW = pa.schema(
@@ -159,18 +142,78 @@ _ARROW = pa.schema(
         ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
     ]
 )
+_RANGES = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+_PASS = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("ranges", _RANGES), ("ids", pa.list_(pa.string()))])
+_PASS_SQL = "doc_id long, text string, ranges array<struct<a:long,b:long>>, ids array<string>"
+
+
+def _row(doc_id: int | None, text: str | None, n: int, ranges: list[tuple[int, int]], found: set[str]) -> dict:
+    ids = sorted(found)
+    return {
+        "doc_id": doc_id,
+        "n_words": n,
+        "n_hit": sum(b - a for a, b in ranges),
+        "n_items": len(ids),
+        "items_sha256": hashlib.sha256(",".join(ids).encode()).hexdigest(),
+        "contaminated": bool(ranges),
+        "item_ids": ids,
+        "spans": to_original(text, ranges) if ranges else [],
+    }
+
+
+def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_cols: tuple[str, ...] = ("text",)) -> DataFrame:
+    """One row per document: words, hit words, items found, and the hit ranges in the original text (code points)."""
+    rows = bound_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    every = list(matchers(benchmark, window, text_cols))
+
+    def report(shared) -> object:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                out = []
+                for i, doc_id in enumerate(batch.column(0).to_pylist()):
+                    text = batch.column(1)[i].as_py()
+                    n, ranges, found = shared.value.hits(text)
+                    if batch.num_columns > 2:
+                        ranges = merge([*ranges, *((r["a"], r["b"]) for r in batch.column(2)[i].as_py())])
+                        found = found.union(batch.column(3)[i].as_py())
+                    out.append(_row(doc_id, text, n, ranges, found))
+                yield pa.RecordBatch.from_pylist(out, schema=_ARROW)
+
+        return run
+
+    def collect(shared) -> object:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ranges, ids = [], []
+                for i in range(batch.num_rows):
+                    _, new, found = shared.value.hits(batch.column(1)[i].as_py())
+                    ranges.append([{"a": a, "b": b} for a, b in merge([*new, *((r["a"], r["b"]) for r in batch.column(2)[i].as_py())])])
+                    ids.append(sorted(found.union(batch.column(3)[i].as_py())))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ranges, _RANGES), pa.array(ids, pa.list_(pa.string()))], schema=_PASS)
+
+        return run
+
+    if len(every) > 1:
+        rows = rows.select("*", F.expr("cast(array() as array<struct<a:long,b:long>>)").alias("ranges"), F.expr("cast(array() as array<string>)").alias("ids"))
+        for shared in every[:-1]:
+            done = materialize(rows.mapInArrow(collect(shared), _PASS_SQL))
+            discard(rows)
+            rows = done
+    return rows.mapInArrow(report(every[-1]), SCHEMA)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """The documents without any hit, all columns unchanged; one scan, no shuffle."""
-    shared = docs.sparkSession.sparkContext.broadcast(benchmark_items(benchmark))
-    kept: dict[str, list] = {}
+    """The documents without any hit, all columns unchanged; one scan (a shard of the benchmark), no shuffle."""
     at = docs.columns.index("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if "a" not in kept:
-            kept["a"] = build(patterns_of(shared.value, window))
-        for batch in batches:
-            yield batch.filter(pa.array([not hits(kept["a"], x.as_py())[1] for x in batch.column(at)], pa.bool_()))
+    def clean(shared) -> object:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array([not shared.value.hits(x.as_py())[1] for x in batch.column(at)], pa.bool_()))
+
+        return run
 
-    return bound_batches(docs).mapInArrow(run, docs.schema)
+    rows, every = bound_batches(docs), list(matchers(benchmark, window))
+    for shared in every[:-1]:
+        rows = materialize(rows.mapInArrow(clean(shared), docs.schema))
+    return rows.mapInArrow(clean(every[-1]), docs.schema)

@@ -10,9 +10,12 @@ Equal vectors are one class from the start and count as links without being pair
 ``BLOCK`` classes; the work is block against block, and what leaves it is a count for each vector and a spanning forest
 of the links, never the pairs.
 
-Edge cases: vectors that are null, zero, hold null or non-finite components, or have another length than most link with
-nothing; a null ``vec_id`` links with nothing; rows with equal ``vec_id`` but different vectors fall into one component;
-an empty table gives an empty result; other columns are ignored.
+Components are kept as stored (float or double) and every product is in double precision. Whether a walk visits a cell
+is one computation, the same wherever it is asked for, so that no pair is counted twice or never.
+
+Edge cases: vectors that are null, zero, or hold null or non-finite components link with nothing; vectors of different
+lengths do not link, and each length has an index of its own; a null ``vec_id`` links with nothing; rows with equal
+``vec_id`` but different vectors fall into one component; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import bound_batches, materialize
+from lakeloom.llm.common import bound_batches, discard, materialize
 from lakeloom.llm.components import components
 
 THRESHOLD = 0.95
@@ -54,6 +57,17 @@ def distances(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
     return np.maximum(0, (x * x).sum(1)[:, None] - 2 * x @ centroids.T + (centroids * centroids).sum(1))
 
 
+def exact_distances(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """Squared distances, to the last bit the same for a vector whatever others are beside it: no matrix product, whose
+    order of additions depends on the shapes."""
+    out = np.empty((len(x), len(centroids)))
+    step = max(1, (1 << 20) // max(1, centroids.size))
+    for a in range(0, len(x), step):
+        gap = x[a : a + step, None, :] - centroids[None]
+        out[a : a + step] = np.add.reduce(np.ascontiguousarray(gap * gap), axis=2)
+    return out
+
+
 def multi_sequence(d1: np.ndarray, d2: np.ndarray) -> Iterator[tuple[int, int, float]]:
     """Pairs of centroids by growing sum of their distances, from two lists of distances."""
     o1, o2 = np.argsort(d1, kind="stable"), np.argsort(d2, kind="stable")
@@ -87,7 +101,11 @@ class MultiIndex:
         self.slack = float(np.quantile(extra, target)) + 1e-9
 
     def both(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return distances(x[:, : self.half], self.c1), distances(x[:, self.half :], self.c2)
+        return exact_distances(x[:, : self.half], self.c1), exact_distances(x[:, self.half :], self.c2)
+
+    def limits(self, d1: np.ndarray, d2: np.ndarray) -> np.ndarray:
+        """How far each vector's walk goes."""
+        return d1.min(1) + d2.min(1) + self.slack
 
     def assign(self, x: np.ndarray) -> np.ndarray:
         d1, d2 = self.both(x)
@@ -97,8 +115,8 @@ class MultiIndex:
         """Cells that each vector's walk visits."""
         d1, d2 = self.both(x)
         out = []
-        for a, b in zip(d1, d2):
-            cells, limit = [], a.min() + b.min() + self.slack
+        for a, b, limit in zip(d1, d2, self.limits(d1, d2)):
+            cells = []
             for i, j, total in multi_sequence(a, b):
                 if total > limit:
                     break
@@ -110,17 +128,19 @@ class MultiIndex:
         """Whether each vector's walk visits the cell beside it."""
         d1, d2 = self.both(x)
         r = np.arange(len(x))
-        return d1[r, cell // len(self.c2)] + d2[r, cell % len(self.c2)] <= d1.min(1) + d2.min(1) + self.slack
+        return d1[r, cell // len(self.c2)] + d2[r, cell % len(self.c2)] <= self.limits(d1, d2)
 
 
-def unit(raw: bytes, dim: int) -> np.ndarray:
-    x = np.frombuffer(raw, np.float32).reshape(-1, dim).astype(np.float64)
-    return x / np.linalg.norm(x, axis=1, keepdims=True)
+def unit(raw: bytes, dim: int, kind: type = np.float32) -> np.ndarray:
+    x = np.frombuffer(raw, kind).reshape(-1, dim).astype(np.float64)
+    # The largest component becomes 1 first: squares of very large or small ones would be infinite or zero.
+    x = x / np.abs(x).max(1, keepdims=True)
+    return x / np.sqrt(np.add.reduce(x * x, axis=1, keepdims=True))
 
 
-def _valid(v: str, dim: int) -> F.Column:
+def _valid(v: str) -> F.Column:
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    return F.col(v).isNotNull() & (F.size(v) == dim) & finite & F.exists(v, lambda x: x != 0)
+    return F.col(v).isNotNull() & finite & F.exists(v, lambda x: x != 0)
 
 
 def _forest(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,31 +159,35 @@ def _forest(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np
 
 def link_summary(vectors: DataFrame, threshold: float = THRESHOLD, target: float = TARGET) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every row of ``vec_id, embedding``."""
-    spark = bound_batches(vectors).sparkSession
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("v"))
-    dim_row = rows.where("v is not null").groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    alone = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    if dim_row is None or dim_row["d"] < 1:
-        return alone
-    dim = dim_row["d"]
-    ok = F.coalesce(_valid("v", dim), F.lit(False)) & F.col("vec_id").isNotNull()
+    double = vectors.select("embedding").schema[0].dataType.elementType.typeName() != "float"
+    kind = "double" if double else "float"
+    rows = bound_batches(vectors).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>").alias("v"))
+    ok = F.coalesce(_valid("v"), F.lit(False)) & F.col("vec_id").isNotNull()
     # Minus zero equals zero.
-    keyed = rows.withColumn("v", F.when(ok, F.transform("v", lambda x: x + F.lit(0.0).cast("float"))))
+    keyed = rows.withColumn("v", F.when(ok, F.transform("v", lambda x: x + F.lit(0.0).cast(kind))))
+    out = keyed.where("v is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    lengths = keyed.where("v is not null").groupBy(F.size("v").alias("dim")).count().collect()
+    for dim in sorted(r["dim"] for r in lengths):
+        out = out.unionByName(_of_length(keyed.where(F.size("v") == dim), dim, np.float64 if double else np.float32, threshold, target))
+    return out
+
+
+def _of_length(keyed: DataFrame, dim: int, kind: type, threshold: float, target: float) -> DataFrame:
+    """The summary of valid vectors of one length."""
+    spark = keyed.sparkSession
     keyed = keyed.withColumn("h1", F.xxhash64("v")).withColumn("h2", F.xxhash64("v", F.lit(1)))
-    nodes = materialize(keyed.where("v is not null").groupBy("h1", "h2").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"), F.first("v").alias("v")))
+    nodes = materialize(keyed.groupBy("h1", "h2").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"), F.first("v").alias("v")))
     n = nodes.count()
-    if not n:
-        return alone
     picked = nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("v").collect()
-    index = MultiIndex(unit(np.array([r["v"] for r in picked], np.float32).tobytes(), dim), n, threshold, target)
+    index = MultiIndex(unit(np.array([r["v"] for r in picked], kind).tobytes(), dim, kind), n, threshold, target)
     shared = spark.sparkContext.broadcast(index)
 
     filed_schema = pa.schema([("node", pa.int64()), ("copies", pa.int64()), ("cell", pa.int64()), ("raw", pa.binary())])
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = batch.column(2).flatten().to_numpy(zero_copy_only=False).astype(np.float32)
-            cells = shared.value.assign(unit(raw.tobytes(), dim))
+            raw = batch.column(2).flatten().to_numpy(zero_copy_only=False).astype(kind)
+            cells = shared.value.assign(unit(raw.tobytes(), dim, kind))
             own = [x.tobytes() for x in raw.reshape(-1, dim)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cells), pa.array(own, pa.binary())], schema=filed_schema)
 
@@ -193,10 +217,10 @@ def link_summary(vectors: DataFrame, threshold: float = THRESHOLD, target: float
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                nodes_, copies, raw = (np.frombuffer(r[c], t) for c, t in (("nodes", np.int64), ("copies", np.int64), ("raw", np.float32)))
+                nodes_, copies, raw = (np.frombuffer(r[c], t) for c, t in (("nodes", np.int64), ("copies", np.int64), ("raw", kind)))
                 raw = raw.reshape(-1, dim)
                 who: dict[int, list[int]] = {}
-                for i, cells in enumerate(shared.value.visits(unit(r["raw"], dim))):
+                for i, cells in enumerate(shared.value.visits(unit(r["raw"], dim, kind))):
                     for c in cells:
                         who.setdefault(c, []).append(i)
                 for c, i in sorted(who.items()):
@@ -213,7 +237,7 @@ def link_summary(vectors: DataFrame, threshold: float = THRESHOLD, target: float
             for r in batch.to_pylist():
                 q, y = np.frombuffer(r["q_nodes"], np.int64), np.frombuffer(r["nodes"], np.int64)
                 qc, yc = np.frombuffer(r["q_copies"], np.int64), np.frombuffer(r["copies"], np.int64)
-                x, z = unit(r["q_raw"], dim), unit(r["raw"], dim)
+                x, z = unit(r["q_raw"], dim, kind), unit(r["raw"], dim, kind)
                 linked = (x @ z.T >= threshold) & (q[:, None] != y[None, :])
                 if not linked.any():
                     continue
@@ -234,12 +258,10 @@ def link_summary(vectors: DataFrame, threshold: float = THRESHOLD, target: float
                 )
 
     found = materialize(met.select("q_nodes", "q_copies", "q_cell", "q_raw", "nodes", "copies", "raw").mapInArrow(verify, "node long, links long, low long"))
-    counted = found.groupBy("node").agg(F.sum("links").alias("links"))
+    counted = materialize(found.groupBy("node").agg(F.sum("links").alias("links")))
     labels = components(found.where("low is not null").select(F.col("node").alias("a"), F.col("low").alias("b")))
     named = nodes.select("h1", "h2", "node", "copies").join(counted, "node", "left").join(labels, "node", "left")
     named = named.select("h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("label", "node").alias("c"))
-    linked = keyed.where("v is not null").select("vec_id", "h1", "h2").join(named, ["h1", "h2"])
-    linked = linked.select("vec_id", F.col("n").cast("long").alias("n_links"), F.col("c").alias("component_id"), (F.col("vec_id") == F.col("c")).alias("kept"))
-    return linked.unionByName(
-        keyed.where("v is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    )
+    discard(filed, blocks, found)
+    linked = keyed.select("vec_id", "h1", "h2").join(named, ["h1", "h2"])
+    return linked.select("vec_id", F.col("n").cast("long").alias("n_links"), F.col("c").alias("component_id"), (F.col("vec_id") == F.col("c")).alias("kept"))

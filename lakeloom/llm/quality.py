@@ -23,8 +23,8 @@ from lakeloom.llm.common import bound_batches, flat_text, labelled_sample, text_
 #: Bytes of a filter, between its places, of a pooling block, and blocks of a chunk and between chunks.
 WIDTH, STRIDE, BLOCK, CHUNK, STEP = 8, 4, 64, 4, 3
 FILTERS, HIDDEN = 24, 16
-#: Bounds of the training sample: rows of each class, and characters of a row (a window at a hashed place).
-PER_CLASS, MAX_CHARS = 700, 2000
+#: Bounds of the training sample: rows of each class, and bytes of all of them (whole texts).
+PER_CLASS, MAX_BYTES = 700, 16 << 20
 
 
 def _channels() -> np.ndarray:
@@ -175,7 +175,7 @@ def train(rows: list[tuple[str, int]], epochs: int = 14, batch: int = 32, rate:
 
 def fit(spark: SparkSession, sf_dir: str) -> QualityModel:
     """Trains on a bounded sample of the labelled rows outside the held-out fold."""
-    return train(labelled_sample(spark, sf_dir, "quality", PER_CLASS, MAX_CHARS))
+    return train(labelled_sample(spark, sf_dir, "quality", PER_CLASS, MAX_BYTES))
 
 
 def score(docs: DataFrame, model: QualityModel) -> DataFrame:

@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from lakeloom.llm.common import bound_batches, labelled_sample, text_groups, words_of
 
 BITS = 18
-#: Bounds of the training sample: rows of each class, and characters of a row.
-PER_CLASS, MAX_CHARS = 4000, 12_000
+#: Bounds of the training sample: rows of each class, and bytes of all of them (whole texts).
+PER_CLASS, MAX_BYTES = 4000, 32 << 20
 #: Lengths in bytes of the beginnings of words that are features of their own.
 PREFIXES = (4, 5, 6, 7, 8)
 #: A word's least number of toxic documents, and how many times its share of them must exceed its share of clean ones.
@@ -125,7 +125,7 @@ def train(rows: list[tuple[str, int]], epochs: int = 400, rate: float = 0.3, dec
 
 def fit(spark: SparkSession, sf_dir: str) -> ToxicityModel:
     """Trains on a bounded sample of the labelled rows outside the held-out fold."""
-    return train(labelled_sample(spark, sf_dir, "toxic", PER_CLASS, MAX_CHARS))
+    return train(labelled_sample(spark, sf_dir, "toxic", PER_CLASS, MAX_BYTES))
 
 
 SCHEMA = "doc_id long, score double, n_sentences long, offending array<struct<start:long,end:long,score:double>>"

@@ -15,7 +15,7 @@ def brute(docs, items, window=10):
         w = WORD.findall(lower(text or ""))
         n = min(window, len(w))
         for i in range(len(w) - n + 1 if w else 0):
-            wins.setdefault(tuple(w[i : i + n]), set()).add(str(item))
+            wins.setdefault(tuple(w[i : i + n]), set()).update([] if item is None else [str(item)])
     lengths = sorted({len(k) for k in wins})
     out = {}
     for doc, text in docs:
@@ -23,9 +23,9 @@ def brute(docs, items, window=10):
         hit, found = set(), set()
         for n in lengths:
             for i in range(len(w) - n + 1):
-                if ids := wins.get(tuple(w[i : i + n])):
+                if tuple(w[i : i + n]) in wins:
                     hit.update(range(i, i + n))
-                    found |= ids
+                    found |= wins[tuple(w[i : i + n])]
         ids = ",".join(sorted(found))
         out[doc] = (len(w), len(hit), len(found), hashlib.sha256(ids.encode()).hexdigest(), bool(hit))
     return out
@@ -50,7 +50,7 @@ def test_random_small_words(spark):
     d = spark.createDataFrame([(a, b, 1) for a, b in docs], "doc_id long, text string, item_ids int")
     b = spark.createDataFrame(items, "item_id long, text string")
     rows = decontaminate.scan(d, b).collect()
-    assert answer(rows) == brute(docs, [x for x in items if x[0] is not None])
+    assert answer(rows) == brute(docs, items)
     texts = dict(docs)
     for r in rows:
         assert sum(len(WORD.findall(lower(texts[r["doc_id"]][s["start"] : s["end"]]))) for s in r["spans"]) == r["n_hit"]
@@ -58,11 +58,32 @@ def test_random_small_words(spark):
     assert clean.columns == d.columns and {r["doc_id"] for r in clean.collect()} == {r["doc_id"] for r in rows if not r["contaminated"]}
 
 
-def test_several_automata_and_long_texts(spark, monkeypatch):
-    monkeypatch.setattr(decontaminate, "MAX_PATTERNS", 2)
-    automata = decontaminate.build(decontaminate.patterns_of([(1, "a b c d e f"), (2, "c d e")], 3))
-    assert len(automata) > 1 and decontaminate.hits(automata, "x a b c d e f y")[1:] == ([(1, 7)], {"1", "2"})
-    monkeypatch.undo()
+def test_shards_and_wide_symbols_change_nothing(spark, monkeypatch):
+    rng = random.Random(9)
+    text = lambda n: " ".join(rng.choice(["a", "b", "c", "d", "e", "f", "g"]) for _ in range(n))
+    items, docs = [(i % 20 if i else None, text(rng.randint(0, 9))) for i in range(40)], [(i, text(rng.randint(0, 60))) for i in range(60)] + [(100, None)]
+    d = spark.createDataFrame([(a, b, "k", 1) for a, b in docs], "doc_id long, text string, ids string, ranges int")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    want = brute(docs, items, 4)
+    for size, symbols in ((1 << 20, 0x110000), (1 << 20, 4), (100, 0x110000)):
+        monkeypatch.setattr(decontaminate, "ONE_PASS", size)
+        if symbols == 4:
+            # Workers read the real bound; the matcher of this process shows that two symbols a word change nothing.
+            monkeypatch.setattr(decontaminate, "_SYMBOLS", symbols)
+            matcher = decontaminate.Matcher(items, 4)
+            for i, x in docs:
+                n, ranges, found = matcher.hits(x)
+                assert (n, sum(q - p for p, q in ranges), len(found), bool(ranges)) == (*want[i][:3], want[i][4])
+            monkeypatch.undo()
+            continue
+        assert answer(decontaminate.scan(d, b, 4).collect()) == want
+        clean = decontaminate.drop_contaminated(d, b, 4)
+        assert clean.columns == d.columns and {r["doc_id"] for r in clean.collect()} == {i for i, w in want.items() if not w[4]}
+
+
+def test_long_texts_and_empty_tables(spark):
+    matcher = decontaminate.Matcher([(1, "a b c d e f"), (2, "c d e")], 3)
+    assert matcher.hits("x a b c d e f y") == (8, [(1, 7)], {"1", "2"})
     d = spark.createDataFrame([(1, "q " * 300_000 + "one two three"), (1, "q")], "doc_id long, text string")
     b = spark.createDataFrame([(1, "One, two THREE")], "item_id long, text string")
     assert sorted((r["n_words"], r["n_hit"]) for r in decontaminate.scan(d, b).collect()) == [(1, 0), (300_003, 3)]

@@ -49,6 +49,30 @@ def test_edges(spark):
     assert multiindex.link_summary(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_lengths_and_doubles(spark):
+    rng = np.random.default_rng(9)
+    rows = []
+    for i, dim in enumerate([2, 3, 16] * 60):
+        v = np.ones(dim) + rng.normal(size=dim) * rng.choice([0.0, 0.05, 0.6])
+        rows.append((i, [float(x) for x in v * 10.0 ** rng.integers(-200, 200)]))
+    df = spark.createDataFrame([(i, v) for i, v in rows], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in multiindex.link_summary(df).collect()}
+    want = {}
+    for dim in (2, 3, 16):
+        want |= brute([(i, list(np.array(v) / np.abs(v).max())) for i, v in rows if len(v) == dim])
+    assert got == want
+
+
+def test_distances_do_not_depend_on_neighbours():
+    rng = np.random.default_rng(1)
+    x, c = rng.normal(size=(300, 33)), rng.normal(size=(70, 33))
+    whole = multiindex.exact_distances(x, c)
+    for part in (slice(0, 1), slice(17, 40), slice(299, 300)):
+        assert np.array_equal(whole[part], multiindex.exact_distances(x[part], c))
+    raw = x.astype(np.float32).tobytes()
+    assert np.array_equal(multiindex.unit(raw, 33)[5:6], multiindex.unit(x.astype(np.float32)[5:6].tobytes(), 33))
+
+
 def test_query(spark):
     rows = queries.queries()["op7_embeddings"](spark, SF).collect()
     assert len(rows) == 500 and all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in rows)
