@@ -1,9 +1,11 @@
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from lakeloom.llm import quality, queries, toxicity
-from lakeloom.llm.common import flat_text, held_out_bucket, read_table
+from lakeloom.llm.common import flat_text, held_out_bucket, labelled_sample, read_table
 from tests.conftest import SF
 
 
@@ -27,8 +29,6 @@ def test_held_out_accuracy(judged, name, label, cut, least):
 
 
 def test_held_out_fold(spark):
-    import zlib
-
     from pyspark.sql import functions as F
 
     rows = spark.range(50).select("id", held_out_bucket(F.col("id"), 3).alias("b")).collect()
@@ -67,11 +67,8 @@ def test_network_matches_a_plain_version():
         p, tops = model.p, []
         for b in range(blocks):
             best = np.full(quality.FILTERS, -np.inf)
-            for at in range(b * quality.BLOCK, min((b + 1) * quality.BLOCK, blocks * quality.BLOCK - quality.STRIDE), quality.STRIDE):
-                here = padded[at : at + 8]
-                again = at >= 24 and here.any() and any(np.array_equal(here, padded[at - lag : at - lag + 8]) for lag in range(3, 25))
-                x = np.append(quality._TABLE[here].ravel(), float(again))
-                best = np.maximum(best, x @ p["w1"] + p["b1"])
+            for at in range(b * quality.BLOCK, min((b + 1) * quality.BLOCK, blocks * quality.BLOCK - quality.WIDTH + 1), quality.STRIDE):
+                best = np.maximum(best, p["e"][padded[at : at + quality.WIDTH]].ravel() @ p["w1"] + p["b1"])
             tops.append(best)
         chunks, first = [], 0
         while True:
@@ -87,6 +84,17 @@ def test_network_matches_a_plain_version():
         assert among == pytest.approx(want, abs=1e-3)
 
 
+def test_samples_are_whole_texts_within_bounds(spark, tmp_path):
+    rows = [(i, "w" * (10 + 100 * (i % 2)), i % 3 == 0) for i in range(60)] + [(0, "another text of one id", True)] * 5
+    spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(r[0], int(r[2])) for r in rows], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    every = labelled_sample(spark, str(tmp_path), "toxic", 100, 1 << 20)
+    texts = {t for _, t, _ in rows}
+    assert {t for t, _ in every} <= texts and len(every) == sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(60))
+    few = labelled_sample(spark, str(tmp_path), "toxic", 4, 400)
+    assert {t for t, _ in few} <= texts and sum(y for _, y in few) <= 4 and sum(len(t) for t, _ in few) <= 400
+
+
 def test_noisy_or_and_offending_sentences(spark):
     assert toxicity.noisy_or(np.array([0.0, 0.0]), np.array([0, 0]), 2).tolist() == pytest.approx([0.75, 0.0])
     clean = ["the river is calm today", "we walk along the road", "é ü plain words only"]
