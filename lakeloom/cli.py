@@ -10,8 +10,9 @@ from lakeloom.config import Config, parse_args
 from lakeloom.operators.purge import source_status
 from lakeloom.plans import cleanup, reduce
 from lakeloom.session import build_session
+from lakeloom.sinks import reports
 from lakeloom.sinks.registry import Registry
-from lakeloom.sources import images, manifest
+from lakeloom.sources import ground_truth, images, manifest
 
 
 def _listing(spark, raw: str):
@@ -45,9 +46,12 @@ def main(argv: list[str]) -> int:
         for row in manifest.datasets(refs, config.name_prefix, config.name_suffix).orderBy("model_key").collect():
             listing = images.list_images(spark, args["raw"])
             pixels = images.pixel_features(images.read_pixels(spark, args["raw"]))
-            base = listing.withColumn("slug", F.element_at(F.split("path", "/"), -2)).withColumnRenamed("length", "size").join(pixels, "path")
+            base = listing.withColumn("slug", F.element_at(F.split("path", "/"), -2)).withColumnRenamed("length", "size").join(pixels, "path", "left")
             done = registry.read().where(F.col("dataset") == row["dataset"])
-            registry.append(compile_dataset(base, refs, row["model_key"], row["dataset"], config, done))
+            truth = ground_truth.read_all(spark, config.ground_truth)
+            registry.append(compile_dataset(base, refs, row["model_key"], row["dataset"], config, done, config.models, **truth))
+            if args["export"]:
+                reports.export(registry.read(), row["dataset"], f"{args['export'].rstrip('/')}/{row['dataset']}")
     return 0
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 import json
-from dataclasses import asdict, dataclass, fields, replace
+from dataclasses import asdict, dataclass, field, fields, replace
 from pathlib import Path
 
 GIB = 1024**3
@@ -28,6 +28,10 @@ class Config:
     name_suffix: str = "Large"
     max_files_per_trigger: int = 100
     model: str | None = None
+    #: Paths of score tables by format: ava, aadb, koniq, spaq, tid, live, csiq.
+    ground_truth: dict = field(default_factory=dict)
+    #: Names of registered plug-ins by kind: scorer, labeler, captioner.
+    models: dict = field(default_factory=dict)
 
     @classmethod
     def load(cls, path: str | None = None, overrides: dict | None = None) -> Config:
@@ -52,6 +56,7 @@ def parse_args(argv: list[str]) -> dict:
     p.add_argument("--suffix", dest="name_suffix")
     p.add_argument("--raw")
     p.add_argument("--out")
+    p.add_argument("--export")
     p.add_argument("--max-gb", type=float, dest="max_size_gb")
     p.add_argument("--no-vetting", action="store_const", const="pass_through", dest="vetting")
     p.add_argument("--strict", action="store_const", const=True, dest="strict_ground_truth")

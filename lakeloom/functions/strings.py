@@ -84,6 +84,11 @@ def detect_task(key: Column) -> Column:
     return _first(cases, F.lit("detection"))
 
 
+def legacy_name(prefix: Column, idx: Column) -> Column:
+    """The name that older registries gave a sample, without its source."""
+    return F.format_string("%s_%09d", prefix, idx)
+
+
 def sample_name(prefix: Column, slug: Column, idx: Column) -> Column:
     return F.format_string("%s_%s_%09d", prefix, slug, idx.cast("long"))
 

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions.maths import from_unit, gaussian_bins, vote_score
 
-#: Largest lookup that is broadcast; beyond it Spark picks the join.
-BROADCAST_ROWS = 2_000_000
+#: Largest lookup that is broadcast (a row of it is at most ten numbers and a name, so some 30 MB); beyond it Spark picks
+#: the join.
+BROADCAST_ROWS = 200_000
 
 
 def lookup(df: DataFrame) -> DataFrame:

@@ -227,9 +227,12 @@ def softmax_mean(spark, sf_dir):
     return p.select("vec_id", maths.round6(maths.weighted_bins(F.col("p"))).alias("mean"))
 
 
-@query(f"SELECT vec_id, i::INT AS i, floor(x / sqrt(sum(x * x) OVER (PARTITION BY vec_id)) * 1e6 + 0.5) / 1e6 AS x FROM ({_TEN})")
+@query(
+    "SELECT vec_id, i::INT AS i, floor(x / sqrt(sum(x * x) OVER (PARTITION BY vec_id)) * 1e6 + 0.5) / 1e6 AS x FROM "
+    "(SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)"
+)
 def l2_normalize(spark, sf_dir):
-    v = table(spark, sf_dir, "embeddings").select("vec_id", maths.l2_normalize(floats("embedding", 10)).alias("v"))
+    v = table(spark, sf_dir, "embeddings").select("vec_id", maths.l2_normalize(F.transform("embedding", lambda x: x.cast("double"))).alias("v"))
     return v.select("vec_id", F.posexplode("v").alias("i", "x")).select("vec_id", (F.col("i") + 1).alias("i"), maths.round6(F.col("x")).alias("x"))
 
 
@@ -492,12 +495,13 @@ def streaming_resume(spark, sf_dir):
 
 
 @query(
-    f"WITH s AS ({_SAMPLES}), u AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY hash ORDER BY doc_id) = 1), g AS (SELECT u.*, 1 + quality * 9.0 AS score FROM u JOIN labels USING (doc_id)), "
-    "k AS (SELECT *, sum(size) OVER (ORDER BY source, doc_id ROWS UNBOUNDED PRECEDING) - size AS before FROM g WHERE score >= 4.0) "
+    f"WITH s AS ({_SAMPLES}), g AS (SELECT s.*, 1 + quality * 9.0 AS score FROM s JOIN labels USING (doc_id) WHERE 1 + quality * 9.0 >= 4.0), "
+    "u AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY hash ORDER BY doc_id) = 1), "
+    "k AS (SELECT *, sum(size) OVER (ORDER BY source, doc_id ROWS UNBOUNDED PRECEDING) - size AS before FROM u) "
     "SELECT source, split, count(*) AS n, sum(size)::BIGINT AS bytes FROM k WHERE before < 1500000 GROUP BY source, split"
 )
 def compile_counts(spark, sf_dir):
-    """The flagship: name, split, dedup, label join and gate, byte budget, counts by source and split."""
+    """The flagship: name, split, label join and gate, dedup, byte budget, counts by source and split."""
     from lakeloom.plans.compile import compile_samples
 
     s = samples(spark, sf_dir)

@@ -19,11 +19,20 @@ def first_existing(spark: SparkSession, base: str, folder: str, relative: str, r
     return None
 
 
+#: Place of a line: file, split, and position in it. Lines of one split keep their order in a partition, while the
+#: partitions' own order follows how splits are packed.
+_PLACE = ("_metadata.file_path", "_metadata.file_block_start")
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    return df.withColumn("row_no", F.struct(F.col(_PLACE[0]).alias("path"), F.col(_PLACE[1]).alias("split"), F.monotonically_increasing_id().alias("line")))
+
+
 def _csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Columns by name; rows numbered in file order (partition, then position)."""
-    df = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    """Columns by name; rows numbered by path and place in their file."""
+    df = _numbered(spark.read.option("header", True).option("enforceSchema", False).csv(path))
     wanted = [x.rsplit(" ", 1) for x in schema.split(", ")]
-    return df.select(*[F.expr(f"try_cast(`{n.strip('`')}` as {t})").alias(n.strip("`")) for n, t in wanted]).withColumn("row_no", F.monotonically_increasing_id())
+    return df.select(*[F.expr(f"try_cast(`{n.strip('`')}` as {t})").alias(n.strip("`")) for n, t in wanted], "row_no")
 
 
 def _scores(df: DataFrame, file: Column, score: Column) -> DataFrame:
@@ -51,7 +60,7 @@ def read_spaq(spark: SparkSession, path: str) -> DataFrame:
 
 def read_tid(spark: SparkSession, path: str) -> DataFrame:
     """Lines of a score and a file name; shorter lines are skipped."""
-    t = spark.read.text(path).select(F.split(F.trim("value"), r"\s+").alias("t"), F.monotonically_increasing_id().alias("row_no")).where("size(t) >= 2")
+    t = _numbered(spark.read.text(path)).select(F.split(F.trim("value"), r"\s+").alias("t"), "row_no").where("size(t) >= 2")
     return _scores(t, F.lower(F.col("t")[1]), maths.from_nine(F.expr("try_cast(t[0] as double)")))
 
 
@@ -70,3 +79,10 @@ def read_technical(spark: SparkSession, paths: dict[str, str]) -> DataFrame | No
     """The given technical tables merged in the order of ``TECHNICAL``, later ones winning; None without any."""
     found = [read(spark, paths[k]) for k, read in TECHNICAL.items() if paths.get(k)]
     return last_wins(found) if found else None
+
+
+def read_all(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
+    """The tables that paths name by format, as :func:`lakeloom.operators.labels.attach_scores` takes them."""
+    found = {"votes": read_votes(spark, paths["ava"]) if paths.get("ava") else None, "aadb": read_aadb(spark, paths["aadb"]) if paths.get("aadb") else None}
+    found["technical"] = read_technical(spark, paths)
+    return {k: v for k, v in found.items() if v is not None}

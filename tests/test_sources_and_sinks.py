@@ -6,7 +6,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from lakeloom import plugins
+from lakeloom import plugins, session
 from lakeloom.config import GIB, Config, parse_args
 from lakeloom.plans import cleanup, reduce
 from lakeloom.plans.compile import compile_dataset, compile_samples
@@ -170,6 +170,64 @@ def test_compile_is_idempotent(spark):
     assert compile_samples(s, truth, "k", ["source", "k"], 1000, registry=first).count() == 0
 
 
+def test_gate_comes_before_dedup(spark):
+    # The first copy has no score; the second one passes and stays.
+    s = spark.createDataFrame([(0, "s", "h", 10), (1, "s", "h", 10), (2, "s", "h", 10)], "k long, source string, hash string, size long")
+    truth = spark.createDataFrame([(1, 8.0), (2, 9.0)], "k long, score double")
+    assert [r["k"] for r in compile_samples(s, truth, "k", ["source", "k"], 1000).collect()] == [1]
+    bare = spark.createDataFrame([(0, 1.0), (1, 8.0)], "k long, score double")
+    assert [r["k"] for r in compile_samples(s, bare, "k", ["source", "k"], 1000, Config(vetting="pass_through")).collect()] == [1]
+
+
+def test_numbers_run_over_the_listing_and_legacy_names_count(spark):
+    rows = [("koniq", f"/raw/koniq/{i}.jpg", 0, 10, f"h{i}", 200, 200, 0.95 if i == 0 else 0.0) for i in range(4)] + [("koniq", "/raw/koniq/9.jpg", 0, 10, "h9", None, None, None)]
+    images_ = spark.createDataFrame(rows, "slug string, path string, ext_rank int, size long, hash string, width int, height int, dark double")
+    refs = spark.createDataFrame([("nima_x", "o/koniq", 0)], "model_key string, ref string, pos int")
+    tech = spark.createDataFrame([(f"{i}.jpg", 8.0) for i in range(10)], "file string, score double")
+    names = lambda config, registry=None: sorted(r["name"] for r in compile_dataset(images_, refs, "nima_x", "D", config, registry, technical=tech).collect())
+    assert names(Config()) == [f"loom_koniq_{i:09d}" for i in (1, 2, 3)]
+    # A threshold changes which samples stay, never their names.
+    assert names(Config(black_threshold=0.0)) == [f"loom_koniq_{i:09d}" for i in (0, 1, 2, 3)]
+    done = spark.createDataFrame([("loom_000000002", "x", 5), ("loom_koniq_000000001", "y", 5)], "name string, hash string, size long")
+    assert names(Config(), done) == ["loom_koniq_000000003"]
+
+
+def test_compile_scores_what_lacks_ground_truth(spark):
+    plugins.register("scorer", "nine", lambda: lambda xs: [(9.0, [1.0]) for _ in xs])
+    rows = [("koniq", f"/raw/koniq/{i}.jpg", 0, 10, f"h{i}", 200, 200, 0.0, b"x") for i in range(3)]
+    images_ = spark.createDataFrame(rows, "slug string, path string, ext_rank int, size long, hash string, width int, height int, dark double, content binary")
+    refs = spark.createDataFrame([("nima_x", "o/koniq", 0)], "model_key string, ref string, pos int")
+    tech = spark.createDataFrame([("0.jpg", 8.0), ("1.jpg", 2.0)], "file string, score double")
+    got = compile_dataset(images_, refs, "nima_x", "D", Config(), models={"scorer": "nine"}, technical=tech).collect()
+    assert sorted((r["file"], r["score"]) for r in got) == [("0.jpg", 8.0), ("2.jpg", 9.0)]
+
+
+def test_command_line_compiles_and_exports(spark, raw, tmp_path):
+    from lakeloom import cli
+
+    (tmp_path / "m.yaml").write_text("_registry_metadata: {name_prefix: P}\ndatasets:\n  nima_x: {name: Set, refs: [{ref: o/koniq}]}\n")
+    (tmp_path / "koniq.csv").write_text("image_name,MOS\ngood.bmp,5\nedge.bmp,1\n")
+    (tmp_path / "c.json").write_text(json.dumps({"ground_truth": {"koniq": str(tmp_path / "koniq.csv")}, "black_threshold": 0.0}))
+    args = ["--manifest", str(tmp_path / "m.yaml"), "--config", str(tmp_path / "c.json"), "--raw", str(raw), "--out", str(tmp_path / "reg")]
+    assert cli.main(["compile", *args, "--export", str(tmp_path / "export")]) == 0
+    rows = Registry(spark, str(tmp_path / "reg")).read().collect()
+    assert [(r["source"], r["score"]) for r in rows] == [("koniq", 10.0)]
+    (out,) = (tmp_path / "export").iterdir()
+    assert (out / "report.md").read_text().startswith(f"# {out.name}") and (out / "labels").is_dir() and (out / "index").is_dir()
+
+
+def test_intermediates_need_a_shared_folder(spark):
+    class Cluster:
+        conf = type("C", (), {"get": staticmethod(lambda *a: None)})
+        sparkContext = type("S", (), {"master": "spark://host:7077", "getConf": staticmethod(lambda: Cluster.conf)})
+
+    with pytest.raises(ValueError):
+        session.scratch_dir(Cluster)
+    Cluster.sparkContext.master = "local[2]"
+    assert "lakeloom" in session.scratch_dir(Cluster)
+    session._LEFT.popitem()
+
+
 def test_acquisition_plan_and_render(spark):
     refs = spark.createDataFrame([("m", "hf://o/d:f.tgz", 0), ("m", "o/a", 1), ("n", "o/a", 2)], "model_key string, ref string, pos int")
     listing = spark.createDataFrame([("zz", 1, False)], "slug string, file_count long, has_zip boolean")
