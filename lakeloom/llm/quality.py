@@ -80,7 +80,7 @@ class QualityModel:
         return logit
 
 
-def train(rows: list[tuple[str, int]], epochs: int = 12, batch: int = 32, rate: float = 4e-3, seed: int = 7) -> QualityModel:
+def train(rows: list[tuple[str, int]], epochs: int = 8, batch: int = 32, rate: float = 6e-3, seed: int = 7) -> QualityModel:
     """Adam on the cross entropy, classes drawn alike; a fixed number of steps whatever the sample's size."""
     rng = np.random.default_rng(seed)
     model = QualityModel(

@@ -25,7 +25,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score(read_table(spark, sf_dir, "documents"), quality.fit(spark, sf_dir))
     return scored.select(
         "doc_id",
-        (held_out_bucket(F.col("doc_id"), 3) == 1).alias("held_out"),
+        F.coalesce(held_out_bucket(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
@@ -33,7 +33,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = langid.predict(read_table(spark, sf_dir, "documents"), langid.fit_on(spark, sf_dir))
-    return found.select("doc_id", (held_out_bucket(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", F.coalesce(held_out_bucket(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +69,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(read_table(spark, sf_dir, "documents"), toxicity.fit(spark, sf_dir))
     return scored.select(
         "doc_id",
-        (held_out_bucket(F.col("doc_id"), 3) == 1).alias("held_out"),
+        F.coalesce(held_out_bucket(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
         "offending",

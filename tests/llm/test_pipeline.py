@@ -41,6 +41,19 @@ def test_stages_against_brute_force(spark):
         assert r["ids"] == model.lib.encode(before[d]["text"], add_bos=True, add_eos=True)
 
 
+def test_stages_take_empty_tables_and_clashing_columns(spark):
+    docs = read_table(spark, SF, "documents").where("doc_id < 12")
+    for name in ("node", "label", "t", "key", "shingles", "spans", "ids", "score", "held_out"):
+        docs = docs.withColumn(name, F.lit(name))
+    for rows, least in ((docs, 1), (docs.where("false"), 0)):
+        for name, stage in corpus_pipeline.STAGES:
+            done = materialize(stage(spark, rows, SF))
+            assert done.count() >= least and (least or not done.count())
+            if name != "tokens":
+                assert done.columns == docs.columns and all(r["node"] == "node" for r in done.collect())
+                rows = done
+
+
 def test_registered(spark):
     import __spark_entry__ as entry
 
