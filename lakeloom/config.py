@@ -30,7 +30,7 @@ class Config:
     model: str | None = None
     #: Paths of score tables by format: ava, aadb, koniq, spaq, tid, live, csiq.
     ground_truth: dict = field(default_factory=dict)
-    #: Names of registered plug-ins by kind: scorer, labeler, captioner.
+    #: Names of registered plug-ins by kind: scorer, labeler, captioner, coder.
     models: dict = field(default_factory=dict)
 
     @classmethod

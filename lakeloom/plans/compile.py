@@ -43,11 +43,11 @@ def compile_dataset(
 
     ``images``: slug, path, ext_rank, size, hash, width, height, dark (and annotations, latents and so on, which pass
     through). ``ground_truth``: votes, aadb, technical as :func:`lakeloom.operators.labels.attach_scores` takes them.
-    ``models`` names registered plug-ins by kind (scorer, labeler, captioner), which see the column ``content``.
+    ``models`` names registered plug-ins by kind (scorer, labeler, captioner, coder), which see the column ``content``.
 
     Numbers run over the whole listing, so that no threshold changes a name; then come what is registered already (by its
     name or its legacy name), the filters, the gate, dedup of what passed it, and the budget. Only rows without ground
-    truth reach the scorer, and only rows that stay reach the labeler and the captioner.
+    truth reach the scorer, and only rows that stay reach the labeler, the captioner and the coder.
     """
     wanted = refs.where(F.col("model_key") == model_key).select(strings.ref_slug(F.col("ref")).alias("slug")).distinct()
     rows = images.join(labels.lookup(wanted), "slug", "left_semi").withColumn("source", strings.clean_slug(F.col("slug")))
@@ -82,6 +82,8 @@ def compile_dataset(
         kept = plugins.label_missing(kept, models["labeler"], content)
     if "captioner" in models and "caption" in kept.columns:
         kept = plugins.caption(kept, models["captioner"], content)
+    if "coder" in models and content in kept.columns:
+        kept = plugins.recode(kept, models["coder"], content)
     if "clip_latent" in kept.columns:
         kept = latents.style_clusters(kept, "clip_latent", config.n_style_clusters, config.seed)
     else:

@@ -1,4 +1,4 @@
-"""Pluggable models: scorers, captioners, encoders and labelers, one instance for each Python worker."""
+"""Pluggable models: scorers, captioners, encoders, labelers and image coders, one instance for each Python worker."""
 
 from __future__ import annotations
 
@@ -15,6 +15,7 @@ KINDS = {
     "captioner": "string",
     "encoder": "array<float>",
     "labeler": "array<struct<type:string,cls:int,data:array<double>>>",
+    "coder": "binary",
 }
 _MODELS: dict[str, tuple[str, Callable]] = {}
 _LOADED: dict[str, Callable] = {}
@@ -65,3 +66,9 @@ def caption(df: DataFrame, name: str | None, column: str, fallback: str = "an im
         return df.withColumn("caption", F.when(blank, F.lit(fallback)).otherwise(F.col("caption")))
     rest, need = df.where(~blank), df.where(blank).withColumn("caption", F.coalesce(apply(name, F.col(column)), F.lit(fallback)))
     return rest.unionByName(need)
+
+
+def recode(df: DataFrame, name: str, column: str) -> DataFrame:
+    """Image bytes resized and encoded by a coder, which needs a library that this package does not bring; bytes that it
+    gives back as None leave out their row."""
+    return df.withColumn(column, apply(name, F.col(column))).where(F.col(column).isNotNull())

@@ -193,13 +193,14 @@ def test_numbers_run_over_the_listing_and_legacy_names_count(spark):
 
 
 def test_compile_scores_what_lacks_ground_truth(spark):
+    plugins.register("coder", "twice", lambda: lambda xs: [x + x for x in xs])
     plugins.register("scorer", "nine", lambda: lambda xs: [(9.0, [1.0]) for _ in xs])
     rows = [("koniq", f"/raw/koniq/{i}.jpg", 0, 10, f"h{i}", 200, 200, 0.0, b"x") for i in range(3)]
     images_ = spark.createDataFrame(rows, "slug string, path string, ext_rank int, size long, hash string, width int, height int, dark double, content binary")
     refs = spark.createDataFrame([("nima_x", "o/koniq", 0)], "model_key string, ref string, pos int")
     tech = spark.createDataFrame([("0.jpg", 8.0), ("1.jpg", 2.0)], "file string, score double")
-    got = compile_dataset(images_, refs, "nima_x", "D", Config(), models={"scorer": "nine"}, technical=tech).collect()
-    assert sorted((r["file"], r["score"]) for r in got) == [("0.jpg", 8.0), ("2.jpg", 9.0)]
+    got = compile_dataset(images_, refs, "nima_x", "D", Config(), models={"scorer": "nine", "coder": "twice"}, technical=tech).collect()
+    assert sorted((r["file"], r["score"], bytes(r["content"])) for r in got) == [("0.jpg", 8.0, b"xx"), ("2.jpg", 9.0, b"xx")]
 
 
 def test_command_line_compiles_and_exports(spark, raw, tmp_path):
