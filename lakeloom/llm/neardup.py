@@ -10,12 +10,10 @@ bands of its signature with all weights 1, whose agreement is the Jaccard simila
 shingles both signatures are the same.)
 
 Documents with equal shingle counts are one class from the start, so copies are never paired. Buckets of at most
-``SMALL`` classes are compared pair by pair. In a larger one all members are compared with one pivot; then, round by
-round, a bucket in which several components meet takes ``PIVOTS`` new pivots from its largest component and one from any
-other, and compares them with the members of all other components, until a round links nothing new (at most
-``MAX_ROUNDS``). The rounds only save work: where several components are left in a bucket, every member outside its
-largest one is then compared with every member, block against block, so that each pair of a bucket is either compared
-or joined already. A pair of blocks emits a forest; no step emits all pairs of a large group.
+``SMALL`` classes are compared pair by pair. In a larger one all members are compared with one pivot, which joins most of
+a group of near copies; where several components are left, every member outside the largest one is then compared with
+every member, block against block, so that each pair of a bucket is either compared or joined already. A pair of blocks
+emits a forest; no step emits all pairs of a large group.
 
 Edge cases: a text of fewer than five words is one shingle of all its words; null, empty and wordless texts have no
 shingle and are a class each; rows with equal ``doc_id`` and different texts are documents of their own, each with the
@@ -39,9 +37,8 @@ SHINGLE, THRESHOLD = 5, 0.8
 #: A pair of similarity 0.8 shares no band with probability (1 - 0.8**5)**32, about 3 in a million, whatever its counts:
 #: the bands of weight 1 are among those of every document.
 BANDS, ROWS = 32, 5
+#: Classes of a bucket up to which all pairs are listed; larger ones take a pivot and blocks.
 SMALL = 16
-#: Pivots of a large bucket in a round, and rounds, should each still find links.
-PIVOTS, MAX_ROUNDS = 4, 4
 #: Documents of a block at most, and shingles of a block (fewer documents where a bucket has long ones).
 BLOCK, BLOCK_SHINGLES = 256, 1 << 20
 _LOW48 = np.uint64((1 << 48) - 1)
@@ -286,31 +283,14 @@ def _find(docs: DataFrame) -> _Found:
     links = materialize(verified(pairs, sets))
     labels = materialize(components(links))
 
-    tried = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    has_large, done = bool(large.take(1)), [members, pairs, sets, links]
-    for turn in range(MAX_ROUNDS if has_large else 0):
-        named = large.select("key", "node", "n").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        picks = [F.min_by(F.struct("node", "n"), F.xxhash64("node", F.lit(PIVOTS * turn + i))).alias(f"d{i}") for i in range(PIVOTS)]
-        parts = named.groupBy("key", "label").agg(F.count("*").alias("c"), *picks)
-        # Pivots of a bucket: members of its largest component, and one of a component that hash order chooses.
-        part = F.struct("label", *[f"d{i}" for i in range(PIVOTS)])
-        ranked = parts.groupBy("key").agg(F.max_by(part, F.struct("c", "label")).alias("top"), F.max_by(part, F.xxhash64("label", F.lit(turn))).alias("any"), F.count("*").alias("parts")).where("parts > 1")
-        chosen = F.array_distinct(F.array(*[F.struct(F.col(f"{w}.label").alias("of"), F.col(f"{w}.d{i}.node").alias("p"), F.col(f"{w}.d{i}.n").alias("m")) for w, k in (("top", PIVOTS), ("any", 1)) for i in range(k)]))
-        pivots = ranked.select("key", F.explode(chosen).alias("x")).select("key", "x.*")
-        fresh = named.join(pivots, "key").where("label <> of").where(alike).select(F.least("node", "p").alias("u"), F.greatest("node", "p").alias("v")).distinct()
-        fresh = materialize(fresh.join(tried, ["u", "v"], "left_anti"))
-        new = materialize(verified(fresh, sets))
-        if not new.take(1):
-            break
-        tried, before = tried.unionByName(fresh), labels
-        labels = materialize(merged(labels, new))
-        done += [fresh, new, before]
-    if has_large:
+    done = [members, pairs, sets, links]
+    if large.take(1):
         named = large.select("key", "node", "n").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         rest = materialize(block_links(named, sets))
+        done.append(rest)
         if rest.take(1):
+            done.append(labels)
             labels = materialize(merged(labels, rest))
-        done.append(rest)
 
     discard(*done)
     return _Found(signed, nodes, labels)
