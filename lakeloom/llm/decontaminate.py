@@ -1,9 +1,10 @@
 """Benchmark decontamination: one Aho-Corasick automaton over normalised benchmark texts scans each text once.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z. A pattern is ``window`` consecutive words of
-an item; an item with fewer words, but not none, is one pattern. Every word of the benchmark is a symbol, all other words
-are one more that no pattern holds, so the automaton takes one step a word, a match can only be of whole words, and its
-end is the index of its last word, from which the range of code points in the original text follows.
+an item; an item with fewer words, but not none, is one pattern. The words of the benchmark are numbered, and a number is
+written in as many digits as the largest one needs, each place with digits of its own; all other words are zeros, which no
+pattern holds. So the automaton takes a few steps a word, with few branches at each, a match can only be of whole words,
+and its end gives the index of its last word, from which the range of code points in the original text follows.
 
 A worker builds the automaton once. It holds the benchmark up to ``ONE_PASS`` bytes; a larger one is dealt by hash to
 shards of that size, and the documents pass one shard after the other, with the same result.
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import ahocorasick
 import pyarrow as pa
@@ -27,8 +29,8 @@ from lakeloom.llm.common import WORD_TABLE, bound_batches, discard, materialize
 
 #: Bytes of benchmark text that one automaton holds (its memory is about a hundred times that).
 ONE_PASS = 8 << 20
-#: Code points that stand for words: all but zero and the surrogates.
-_SYMBOLS = 0x110000 - 0x801
+#: Digits of a place: a node of the automaton looks through its branches one by one.
+BASE = 16
 
 SCHEMA = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, item_ids array<string>, spans array<struct<start:long,end:long>>"
 
@@ -47,10 +49,6 @@ def merge(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _symbol(i: int) -> str:
-    return chr(i + 1 if i + 1 < 0xD800 else i + 0x801)
-
-
 class Matcher:
     """The patterns of benchmark items; its automaton is built where it is first used, once a worker."""
 
@@ -66,10 +64,10 @@ class Matcher:
         for _, w in texts:
             for x in w:
                 number.setdefault(x, len(number))
-        # More words than code points take two symbols, of which the first ones come from one half of them.
-        self.wide = 1 if len(number) < _SYMBOLS else 2
-        half = _SYMBOLS // 2
-        self.symbols = {x: _symbol(i) if self.wide == 1 else _symbol(i % half) + _symbol(half + i // half) for x, i in number.items()}
+        self.wide, base = 1, BASE
+        while base**self.wide < len(number):
+            self.wide += 1
+        self.symbols = {x: "".join([chr(1 + p * base + i // base**p % base) for p in range(self.wide)]) for x, i in number.items()}
         found: dict[str, tuple[int, dict[str, None]]] = {}
         for item, w in texts:
             n = min(self.window, len(w))
@@ -91,9 +89,9 @@ class Matcher:
         w = words(text)
         if not w or not len(self.automaton):
             return len(w), [], set()
-        none, get = "\0" * self.wide, self.symbols.get
+        line = "".join(map(self.symbols.get, w, repeat("\0" * self.wide)))
         items: set[str] = set()
-        found = [(end // self.wide + 1, n, ids) for end, (n, ids) in self.automaton.iter("".join([get(x, none) for x in w]))]
+        found = [(end // self.wide + 1, n, ids) for end, (n, ids) in self.automaton.iter(line)]
         for ids in {ids for _, _, ids in found}:
             items.update(ids)
         return len(w), merge([(end - n, end) for end, n, _ in found]), items

@@ -58,18 +58,18 @@ def test_random_small_words(spark):
     assert clean.columns == d.columns and {r["doc_id"] for r in clean.collect()} == {r["doc_id"] for r in rows if not r["contaminated"]}
 
 
-def test_shards_and_wide_symbols_change_nothing(spark, monkeypatch):
+def test_shards_and_digits_change_nothing(spark, monkeypatch):
     rng = random.Random(9)
     text = lambda n: " ".join(rng.choice(["a", "b", "c", "d", "e", "f", "g"]) for _ in range(n))
     items, docs = [(i % 20 if i else None, text(rng.randint(0, 9))) for i in range(40)], [(i, text(rng.randint(0, 60))) for i in range(60)] + [(100, None)]
     d = spark.createDataFrame([(a, b, "k", 1) for a, b in docs], "doc_id long, text string, ids string, ranges int")
     b = spark.createDataFrame(items, "item_id long, text string")
     want = brute(docs, items, 4)
-    for size, symbols in ((1 << 20, 0x110000), (1 << 20, 4), (100, 0x110000)):
+    for size, base in ((1 << 20, 16), (1 << 20, 2), (100, 16)):
         monkeypatch.setattr(decontaminate, "ONE_PASS", size)
-        if symbols == 4:
-            # Workers read the real bound; the matcher of this process shows that two symbols a word change nothing.
-            monkeypatch.setattr(decontaminate, "_SYMBOLS", symbols)
+        if base == 2:
+            # Workers read the real base; the matcher of this process shows that more digits a word change nothing.
+            monkeypatch.setattr(decontaminate, "BASE", base)
             matcher = decontaminate.Matcher(items, 4)
             for i, x in docs:
                 n, ranges, found = matcher.hits(x)
